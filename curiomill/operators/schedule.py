@@ -1,0 +1,59 @@
+"""Politeness and retry times as columns instead of sleeping."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from curiomill import constants as K
+from curiomill.operators.chunks import running_total
+
+
+def seeded_delay_ms(url: Column, low: int = K.MIN_DELAY_SECONDS, high: int = K.MAX_DELAY_SECONDS) -> Column:
+    """Repeatable delay between the bounds, drawn from the URL's digest."""
+    span = (high - low) * 1000 + 1
+    return F.conv(F.substring(F.md5(url), 1, 8), 16, 10).cast("bigint") % span + low * 1000
+
+
+def polite_schedule(requests: DataFrame, domain: str = "domain", order: str = "pos") -> DataFrame:
+    """Earliest fetch offset in milliseconds from the start of the run, per domain in request order."""
+    delayed = requests.withColumn("delay_ms", seeded_delay_ms(F.col("url")))
+    return running_total(delayed, domain, order, "delay_ms", "fetch_at_ms")
+
+
+def gap_audit(attempts: DataFrame, chunk_seconds: int = 86_400, min_delay: float = K.MIN_DELAY_SECONDS) -> DataFrame:
+    """Attempts that came sooner after the previous one of their domain than the minimum delay.
+
+    Only pairs closer than the delay matter, so rows are compared inside short time cells; the first row of a cell
+    is compared with the last row of the cell before it.
+    """
+    cell = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / F.lit(chunk_seconds * 1_000_000)).cast("bigint")
+    rows = attempts.select("attempt_id", "domain", "ts", cell.alias("cell"))
+    inside = Window.partitionBy("domain", "cell").orderBy("ts", "attempt_id")
+    lagged = rows.withColumn("before", F.lag("ts").over(inside))
+    ends = rows.groupBy("domain", "cell").agg(F.max("ts").alias("end"))
+    previous = ends.withColumn("last_end", F.lag("end").over(Window.partitionBy("domain").orderBy("cell")))
+    joined = lagged.join(previous.select("domain", "cell", "last_end"), ["domain", "cell"])
+    before = F.coalesce("before", "last_end").cast("timestamp")
+    gap = (F.unix_micros(F.col("ts").cast("timestamp")) - F.unix_micros(before)) / F.lit(1_000_000.0)
+    return (
+        joined.withColumn("gap_seconds", gap)
+        .filter(F.col("gap_seconds") < min_delay)
+        .select("attempt_id", "domain", "gap_seconds")
+    )
+
+
+def retry_schedule(
+    failures: DataFrame,
+    attempt: str = "attempt",
+    max_attempts: int = K.MAX_ATTEMPTS,
+    delay: float = K.RETRY_DELAY_SECONDS,
+    backoff: float = K.RETRY_BACKOFF,
+) -> DataFrame:
+    """Failed attempts that are tried again, with the wait and the time of the next attempt."""
+    wait = F.lit(float(delay)) * F.pow(F.lit(float(backoff)), F.col(attempt) - 1)
+    return (
+        failures.filter(F.col(attempt) < max_attempts)
+        .withColumn("wait_seconds", wait)
+        .withColumn("next_attempt_at", F.col("ts") + F.make_dt_interval(secs=wait.cast("decimal(18,6)")))
+    )
