@@ -6,17 +6,19 @@ of an earlier step, so a set is finished with the first step after which all its
 block take a step together: step ``j`` runs over the elements of the sets that still have an empty slot.
 
 Documents with the same shingle set form a class, and its smallest id stands for all. Bands of the signatures give
-buckets. In the first round each member is compared with the smallest member of its bucket; in the second, members of
-a bucket that are still in different components are compared unless one-bit sketches of their signatures rule the pair
-out. Every candidate is confirmed on full sets, and links are grouped by ``components``. A large group of copies thus
-costs one comparison per member and bucket.
+buckets. In the first round each member is compared with the member of its bucket that meets most others over all
+bands (the text from which copies were made rather than one of the copies). In the second, members of a bucket that
+are still in different components are compared unless longer signatures, of which two bits a slot are kept, rule the
+pair out. Every candidate is confirmed on full sets, and links are grouped by ``components``. A large group of copies
+thus costs one comparison per member and bucket.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import partial
+from functools import partial, reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +31,9 @@ from curiomill.llm.tables import kept
 
 SLOTS = 126
 MISS = 1e-4  # of a pair at the threshold, in a single band search
+SKETCH = 1024  # slots of the longer signatures of documents that are compared again, of which PLANES bits are kept
+PLANES = 2
+SKETCH_COLUMNS = [f"k{i}" for i in range(SKETCH // 64 * PLANES)]
 EMPTY = np.iinfo(np.uint64).max
 U = np.uint64
 
@@ -41,10 +46,10 @@ def band_rows(threshold: float, slots: int = SLOTS) -> int:
     return rows
 
 
-def most_differing(threshold: float, slots: int = SLOTS) -> int:
-    """Differing bits above which one-bit sketches rule a pair out: five deviations over those of the threshold."""
-    p = (1 - threshold) / 2
-    return math.ceil(slots * p + 5 * math.sqrt(slots * p * (1 - p)))
+def most_differing(threshold: float) -> int:
+    """Differing slots of two sketches above which a pair is ruled out: 4.5 deviations over those of the threshold."""
+    p = (1 - threshold) * (1 - 0.5**PLANES)
+    return math.ceil(SKETCH * p + 4.5 * math.sqrt(SKETCH * p * (1 - p)))
 
 
 def superminhash(row: np.ndarray, value: np.ndarray, rows: int, slots: int = SLOTS) -> np.ndarray:
@@ -77,12 +82,11 @@ def bands(sig: np.ndarray, rows: int) -> np.ndarray:
     return acc
 
 
-def bits(sig: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A bit of each slot, in two integers."""
-    one = np.zeros((len(sig), 128), np.uint8)
-    one[:, : sig.shape[1]] = W.mix(sig ^ W.STEP) & U(1)
-    packed = np.packbits(one, axis=1).view(np.int64)
-    return packed[:, 0], packed[:, 1]
+def planes(sig: np.ndarray) -> np.ndarray:
+    """PLANES bits of each slot, one plane after the other, in 64-bit integers."""
+    mixed = W.mix(sig ^ W.STEP)
+    parts = [np.packbits(((mixed >> U(i)) & U(1)).astype(np.uint8), axis=1).view(np.int64) for i in range(PLANES)]
+    return np.concatenate(parts, axis=1)
 
 
 def _sign(batches: Iterator[pa.RecordBatch], k: int, rows: int) -> Iterator[pa.RecordBatch]:
@@ -91,7 +95,6 @@ def _sign(batches: Iterator[pa.RecordBatch], k: int, rows: int) -> Iterator[pa.R
             row, value = W.distinct(*W.shingles(block, k))
             sig = superminhash(row, value, block.rows)
             band = bands(sig, rows)
-            low, high = bits(sig)
             first = np.searchsorted(row, np.arange(block.rows + 1))
             sums = []
             for salt in (1, 2):
@@ -101,10 +104,9 @@ def _sign(batches: Iterator[pa.RecordBatch], k: int, rows: int) -> Iterator[pa.R
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("id").slice(block.first, block.rows), pa.array(np.diff(first)), pa.array(sums[0]), pa.array(sums[1]),
-                    pa.array(low), pa.array(high),
                     pa.ListArray.from_arrays(pa.array(np.arange(0, band.size + 1, band.shape[1]), pa.int32()), pa.array(band.ravel().view(np.int64))),
                 ],
-                ["id", "n", "s1", "s2", "low", "high", "bands"],
+                ["id", "n", "s1", "s2", "bands"],
             )
 
 
@@ -119,6 +121,16 @@ def _sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]
             yield pa.RecordBatch.from_arrays([batch.column("id").slice(block.first, block.rows), held.cast(pa.binary())], ["id", "held"])
 
 
+def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, 200):
+            part = batch.slice(at, 200)
+            sets = [np.frombuffer(x.as_buffer(), U) for x in part.column("held")]
+            row = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+            bits = planes(superminhash(row, np.concatenate(sets), len(sets), SKETCH))
+            yield pa.RecordBatch.from_arrays([part.column("id"), *(pa.array(np.ascontiguousarray(bits[:, i])) for i in range(bits.shape[1]))], ["member", *SKETCH_COLUMNS])
+
+
 def _confirm(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Pairs with 100 * intersection >= percent * union."""
     for batch in batches:
@@ -136,11 +148,8 @@ def _confirm(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Rec
             yield batch.select(["a", "b"]).take(pa.array(good))
 
 
-def _links(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs (a, b) that hold on full sets. ``docs``: one row (id, text) for each id in the pairs."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    texts = docs.join(wanted.hint("merge"), "id", "left_semi")
-    held = kept(texts.mapInArrow(partial(_sets, k=k), "id long, held binary"), "sets")
+def _links(held: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that hold on full sets."""
     both = (
         pairs.join(held.select(F.col("id").alias("a"), F.col("held").alias("held_a")).hint("merge"), "a")
         .join(held.select(F.col("id").alias("b"), F.col("held").alias("held_b")).hint("merge"), "b")
@@ -162,30 +171,44 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     percent = int(percent)
     rows = band_rows(percent / 100)
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    signed = kept(source.mapInArrow(partial(_sign, k=shingle, rows=rows), "id long, n long, s1 long, s2 long, low long, high long, bands array<long>"), "signatures")
+    signed = kept(source.mapInArrow(partial(_sign, k=shingle, rows=rows), "id long, n long, s1 long, s2 long, bands array<long>"), "signatures")
     usable = signed.filter("id IS NOT NULL AND n > 0")
     classes = kept(usable.groupBy("n", "s1", "s2").agg(F.min("id").alias("rep")), "classes")
     # a class is a node; its number is its smallest id, and two classes of one id share the node
     heads = usable.join(classes.hint("merge"), ["n", "s1", "s2"]).filter("id = rep").dropDuplicates(["n", "s1", "s2"])
-    buckets = kept(heads.select(F.col("rep").alias("member"), "n", "low", "high", F.explode("bands").alias("bucket")), "buckets")
+    buckets = kept(heads.select(F.col("rep").alias("member"), "n", F.explode("bands").alias("bucket")), "buckets")
     texts = source.filter("id IS NOT NULL")
 
-    centres = buckets.groupBy("bucket").agg(F.min("member").alias("a"), F.count("*").alias("size")).filter("size > 1")
+    shared = buckets.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
+    crowded = kept(buckets.join(shared.hint("merge"), "bucket"), "crowded")
+    # the text from which many copies were made meets most of them, the copies meet each other less often
+    met = crowded.groupBy("member").agg(F.sum("size").alias("met"))
+    ranked = kept(crowded.select("bucket", "member").join(met.hint("merge"), "member"), "ranked")
+    most = ranked.groupBy("bucket").agg(F.max("met").alias("met"))
+    centres = ranked.join(most.hint("merge"), ["bucket", "met"]).groupBy("bucket").agg(F.min("member").alias("centre"))
     first = kept(
-        buckets.join(centres.hint("merge"), "bucket").filter("member <> a").select("a", F.col("member").alias("b")).distinct(), "pairs"
+        ranked.join(centres.hint("merge"), "bucket").filter("member <> centre")
+        .select(F.least("member", "centre").alias("a"), F.greatest("member", "centre").alias("b")).distinct(), "pairs",
     )
-    links = kept(_links(texts, first, shingle, percent), "links")
+    members = crowded.select(F.col("member").alias("id")).distinct()
+    held = kept(texts.join(members.hint("merge"), "id", "left_semi").mapInArrow(partial(_sets, k=shingle), "id long, held binary"), "sets")
+    links = kept(_links(held, first, percent), "links")
     known = components(links)
 
     named = kept(
-        buckets.join(known.select(F.col("node").alias("member"), "component").hint("merge"), "member", "left")
+        crowded.select("bucket", "member", "n").join(known.select(F.col("node").alias("member"), "component").hint("merge"), "member", "left")
         .withColumn("component", F.coalesce("component", "member")), "members",
     )
     mixed = named.groupBy("bucket").agg(F.min("component").alias("least"), F.max("component").alias("most")).filter("least <> most")
-    open_members = kept(named.join(mixed.hint("merge"), "bucket", "left_semi"), "open")
-    x, y = open_members.alias("x"), open_members.hint("merge").alias("y")
-    apart = F.bit_count(F.col("x.low").bitwiseXOR(F.col("y.low"))) + F.bit_count(F.col("x.high").bitwiseXOR(F.col("y.high")))
-    second = (
+    unsettled = kept(named.join(mixed.hint("merge"), "bucket", "left_semi"), "unsettled")
+    again = unsettled.select(F.col("member").alias("id")).distinct()
+    sketches = held.join(again.hint("merge"), "id", "left_semi").mapInArrow(_sketch, "member long, " + ", ".join(f"{c} long" for c in SKETCH_COLUMNS))
+    sketched = kept(unsettled.join(sketches.hint("merge"), "member"), "sketched")
+    x, y = sketched.alias("x"), sketched.hint("merge").alias("y")
+    differing = [F.col(f"x.{c}").bitwiseXOR(F.col(f"y.{c}")) for c in SKETCH_COLUMNS]
+    width = SKETCH // 64
+    apart = reduce(add, [F.bit_count(reduce(lambda p, q: p.bitwiseOR(q), differing[i::width])) for i in range(width)])
+    second = kept(
         x.join(
             y,
             (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.member") < F.col("y.member"))
@@ -194,11 +217,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             & (apart <= most_differing(percent / 100)),
         )
         .select(F.col("x.member").alias("a"), F.col("y.member").alias("b")).distinct()
-        .join(first.hint("merge"), ["a", "b"], "left_anti")
+        .join(first.hint("merge"), ["a", "b"], "left_anti"), "pairs",
     )
-    second = kept(second, "pairs")
     if not second.isEmpty():
-        more = kept(_links(texts, second, shingle, percent), "links")
+        more = kept(_links(held, second, percent), "links")
         if not more.isEmpty():
             known = components(links.union(more))
 
