@@ -6,7 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from curiomill.llm.covertree import cosine_links
+from curiomill.llm.langid import identify
 from curiomill.llm.minhash import near_duplicates
+from curiomill.llm.quality import score_quality
+from curiomill.llm.sharding import shard_by_size
 from curiomill.llm.substring import remove_repeated_windows
 from curiomill.llm.tables import table
 
@@ -15,11 +19,30 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated_windows(table(spark, sf_dir, "documents"), texts=False)
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
+
+
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_by_size(table(spark, sf_dir, "documents"))
+
+
+def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cosine_links(table(spark, sf_dir, "embeddings"))
+
+
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_substring_dedup, op10_minhash_near_dedup)
+    f.__name__: f
+    for f in (
+        op2_substring_dedup, op4_language_id, op7_quality_classifier, op8_sharding, op9_embedding_near_dedup, op10_minhash_near_dedup,
+    )
 }
 ORACLES: dict[str, str] = {}
