@@ -176,7 +176,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = kept(usable.groupBy("n", "s1", "s2").agg(F.min("id").alias("rep")), "classes")
     # a class is a node; its number is its smallest id, and two classes of one id share the node
     heads = usable.join(classes.hint("merge"), ["n", "s1", "s2"]).filter("id = rep").dropDuplicates(["n", "s1", "s2"])
-    buckets = kept(heads.select(F.col("rep").alias("member"), "n", F.explode("bands").alias("bucket")), "buckets")
+    heads = kept(heads.select(F.col("rep").alias("member"), "n", "bands"), "heads")
+    buckets = heads.select("member", "n", F.posexplode("bands").alias("band", "bucket"))
     texts = source.filter("id IS NOT NULL")
 
     shared = buckets.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1")
@@ -196,25 +197,26 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     known = components(links)
 
     named = kept(
-        crowded.select("bucket", "member", "n").join(known.select(F.col("node").alias("member"), "component").hint("merge"), "member", "left")
+        crowded.select("bucket", "band", "member", "n").join(known.select(F.col("node").alias("member"), "component").hint("merge"), "member", "left")
         .withColumn("component", F.coalesce("component", "member")), "members",
     )
     mixed = named.groupBy("bucket").agg(F.min("component").alias("least"), F.max("component").alias("most")).filter("least <> most")
     unsettled = kept(named.join(mixed.hint("merge"), "bucket", "left_semi"), "unsettled")
     again = unsettled.select(F.col("member").alias("id")).distinct()
     sketches = held.join(again.hint("merge"), "id", "left_semi").mapInArrow(_sketch, "member long, " + ", ".join(f"{c} long" for c in SKETCH_COLUMNS))
-    sketched = kept(unsettled.join(sketches.hint("merge"), "member"), "sketched")
+    sketched = kept(unsettled.join(sketches.hint("merge"), "member").join(heads.select("member", "bands").hint("merge"), "member"), "sketched")
     x, y = sketched.alias("x"), sketched.hint("merge").alias("y")
     differing = [F.col(f"x.{c}").bitwiseXOR(F.col(f"y.{c}")) for c in SKETCH_COLUMNS]
     width = SKETCH // 64
     apart = reduce(add, [F.bit_count(reduce(lambda p, q: p.bitwiseOR(q), differing[i::width])) for i in range(width)])
+    before = [F.slice(f"{side}.bands", 1, F.col("x.band")) for side in "xy"]  # a pair is taken in the first bucket it shares
     second = kept(
         x.join(
             y,
             (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.member") < F.col("y.member"))
             & (F.col("x.component") != F.col("y.component"))
             & (100 * F.least("x.n", "y.n") >= percent * F.greatest("x.n", "y.n"))
-            & (apart <= most_differing(percent / 100)),
+            & (apart <= most_differing(percent / 100)) & ~F.arrays_overlap(*before),
         )
         .select(F.col("x.member").alias("a"), F.col("y.member").alias("b")).distinct()
         .join(first.hint("merge"), ["a", "b"], "left_anti"), "pairs",
