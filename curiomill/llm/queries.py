@@ -7,18 +7,29 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from curiomill.llm.covertree import cosine_links
+from curiomill.llm.decontaminate import ORACLE as CONTAINED_SQL
+from curiomill.llm.decontaminate import contained_items
 from curiomill.llm.langid import identify
 from curiomill.llm.minhash import near_duplicates
+from curiomill.llm.packing import pack_documents
 from curiomill.llm.quality import score_quality
 from curiomill.llm.sharding import shard_by_size
 from curiomill.llm.substring import remove_repeated_windows
 from curiomill.llm.tables import table
 
 
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"))
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated_windows(table(spark, sf_dir, "documents"), texts=False)
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
@@ -42,7 +53,8 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op2_substring_dedup, op4_language_id, op7_quality_classifier, op8_sharding, op9_embedding_near_dedup, op10_minhash_near_dedup,
+        op1_best_fit_packing, op2_substring_dedup, op3_decontamination, op4_language_id, op7_quality_classifier, op8_sharding,
+        op9_embedding_near_dedup, op10_minhash_near_dedup,
     )
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op3_decontamination": CONTAINED_SQL}
