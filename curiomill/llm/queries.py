@@ -13,6 +13,7 @@ from curiomill.llm.langid import identify
 from curiomill.llm.minhash import near_duplicates
 from curiomill.llm.packing import pack_documents
 from curiomill.llm.quality import score_quality
+from curiomill.llm.secrets import scan
 from curiomill.llm.sharding import shard_by_size
 from curiomill.llm.substring import remove_repeated_windows
 from curiomill.llm.tables import table
@@ -34,6 +35,10 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(table(spark, sf_dir, "documents"))
+
+
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -53,7 +58,8 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_best_fit_packing, op2_substring_dedup, op3_decontamination, op4_language_id, op7_quality_classifier, op8_sharding,
+        op1_best_fit_packing, op2_substring_dedup, op3_decontamination, op4_language_id,
+        op6_secret_scan, op7_quality_classifier, op8_sharding,
         op9_embedding_near_dedup, op10_minhash_near_dedup,
     )
 }

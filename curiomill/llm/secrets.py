@@ -1,0 +1,190 @@
+"""Operator 6: secret scan with a random forest that removes false positives.
+
+A pattern finds candidates: values assigned to telling names, tokens of known formats, logins in addresses, and long
+runs of token characters. Statistics of each candidate and of what stands around it go to a random forest. The forest
+is trained from labelled findings: secrets and harmless look-alikes of many kinds, in contexts of either kind, that are
+written by rule (no findings table is given), go through the same pattern and statistics, and are split by kind of
+value and context. All steps are DataFrame functions and Spark's own forest.
+"""
+
+from __future__ import annotations
+
+from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from curiomill.llm.tables import kept
+
+OPEN, CLOSE = "\ue000", "\ue001"  # mark candidates; in a text they count as other characters
+NAMES = r"(?i:token|secret|passw(?:or)?d|pwd|api[_-]?key|access[_-]?key|credentials?|auth)"
+CANDIDATE = "|".join([  # what leads to a value is in groups 1 and 3, the value in one of the others
+    r"(\b" + NAMES + r"[\"']?\s?[:=]\s?[\"']?)([^\s\"'<>]{6,200})",
+    r"(://)([^\s/:@]{1,80}:[^\s/:@]{3,80})(?=@)",
+    r"(-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----[A-Za-z0-9+/=\s]{0,6000}-----END [A-Z ]{0,30}PRIVATE KEY-----)",
+    r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z_+/-]{0,60}[0-9])([A-Za-z0-9+/_-]{20,200}={0,2})",
+])
+MARKED = f"$1$3{OPEN}$2$4$5$6{CLOSE}"
+AROUND = 60  # characters on either side that count as neighbours
+THRESHOLD = 0.5
+REDACTED = "[SECRET]"
+TRAINING_ROWS = 6000
+
+#: Parts of names and words that show in look-alikes.
+WORDS = (
+    "example sample test dummy fake your here change insert replace default user name admin word pass key token secret value string number "
+    "file path image index page home data table list item group class object function return public private static void import from with "
+    "this that have been will the and for are was not you all can had her his one our out day get has him how man new now old see two way who"
+).split()
+
+FEATURES = [
+    "size", "different", "digits", "upper", "changes", "turns", "vowel_turns", "longest_run", "covered", "hex", "slashes", "dots", "dashes", "file_like",
+    "known_format", "login", "key_block", "named", "assigned", "quoted", "telling", "harmless", "placeholder", "address", "plain_after",
+]
+
+
+def _share(value: Column, pattern: str) -> Column:
+    return F.length(F.regexp_replace(value, pattern, "")) / F.greatest(F.length(value), F.lit(1))
+
+
+def _flag(value: Column, pattern: str) -> Column:
+    return value.rlike(pattern).cast("double")
+
+
+def findings(texts: DataFrame) -> DataFrame:
+    """(id, version, nth, start, value, before, after) of every candidate in (id, version, text)."""
+    clean = F.translate("text", OPEN + CLOSE, "\ufffd\ufffd")
+    marked = texts.filter(F.col("text").rlike(CANDIDATE)).select(
+        "id", "version", F.explode(F.array(F.split(F.regexp_replace(clean, CANDIDATE, MARKED), f"[{OPEN}{CLOSE}]"))).alias("parts")
+    )
+    lengths = marked.withColumn("sizes", F.transform("parts", F.length))
+    nth = lengths.select("id", "version", "parts", "sizes", F.explode(F.sequence(F.lit(1), F.size("parts") - 1, F.lit(2))).alias("at"))
+    return nth.select(
+        "id", "version", F.expr("cast((at + 1) / 2 as int)").alias("nth"),
+        F.aggregate(F.slice("sizes", 1, F.col("at")), F.lit(0), lambda a, x: a + x).cast("long").alias("start"),
+        F.get("parts", F.col("at")).alias("value"), F.right(F.get("parts", F.col("at") - 1), F.lit(AROUND)).alias("before"),
+        F.left(F.get("parts", F.col("at") + 1), F.lit(AROUND)).alias("after"),
+    )
+
+
+def described(found: DataFrame) -> DataFrame:
+    """Add the statistics of FEATURES."""
+    v, b, a = F.col("value"), F.col("before"), F.col("after")
+    n = F.greatest(F.length(v), F.lit(1))
+    words = "|".join(sorted((w for w in WORDS if len(w) > 2), key=len, reverse=True))
+    return found.withColumns({
+        "size": F.least(n, F.lit(400)).cast("double"),
+        "different": F.size(F.array_distinct(F.split(v, ""))) / n,
+        "digits": 1 - _share(v, "[0-9]"),
+        "upper": 1 - _share(v, "[A-Z]"),
+        "changes": F.regexp_count(v, F.lit(r"(?<=[0-9])(?=[A-Za-z])|(?<=[A-Za-z])(?=[0-9])")) / n,
+        "turns": F.regexp_count(v, F.lit(r"(?<=[a-z])(?=[A-Z])|(?<=[A-Z])(?=[a-z])")) / n,
+        "vowel_turns": F.regexp_count(F.lower(v), F.lit(r"(?<=[aeiou])(?=[bcdfghjklmnpqrstvwxyz])")) / n,
+        "longest_run": F.coalesce(F.array_max(F.transform(F.regexp_extract_all(v, F.lit(r"([A-Za-z]+)"), 1), F.length)), F.lit(0)) / n,
+        "covered": 1 - _share(F.lower(v), f"({words})"),
+        "hex": _flag(v, r"^[0-9a-f]+$|^[0-9A-F]+$"),
+        "slashes": 1 - _share(v, "/"), "dots": 1 - _share(v, r"\."), "dashes": 1 - _share(v, "[-_]"),
+        "file_like": _flag(v, r"\.[a-z]{2,4}$|^[A-Za-z]+(/[A-Za-z0-9_.-]+){2,}$"),
+        "known_format": _flag(v, r"(?i)AKIA[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{20,}|xox[abprs]-|eyJ[A-Za-z0-9_-]{10,}|sk_live_|AIza[0-9A-Za-z_-]{30,}"),
+        "login": (_flag(b, r"://$") * _flag(a, "^@")), "key_block": _flag(v, "^-----BEGIN"),
+        "named": _flag(b, NAMES + r"[\"']?\s?[:=]\s?[\"']?$"), "assigned": _flag(b, r"[:=]\s?[\"']?$"), "quoted": (_flag(b, r"[\"']$") * _flag(a, r"^[\"']")),
+        "telling": _flag(b, NAMES), "harmless": _flag(b, r"(?i)\b(commit|sha1|sha256|md5|checksum|etag|hash|uuid|revision|digest|id|version|build)\b[^A-Za-z0-9]{0,4}$"),
+        "placeholder": _flag(v, r"(?i)x{5,}|\*{3,}|your|example|change.?me|insert|dummy|<[^>]+>|\$\{|\{\{|^(.)\1+$|123456|abcdef|null|none|true|false"),
+        "address": _flag(v, r"(?i)@|^www\.|\.(com|org|net)\b") , "plain_after": _flag(a, r"^[\"']?[\s,;.!#*%&$]|^[\"']?$"),
+    })
+
+
+def labelled_findings(spark: SparkSession, rows: int = TRAINING_ROWS) -> DataFrame:
+    """(id, version, text, label, apart): one finding a row, half of them secrets; ``apart`` marks a fifth to test on."""
+    i = F.col("id")
+    hexa = F.sha1(i.cast("string"))
+    mixed = F.translate(F.base64(F.unhex(F.sha2(i.cast("string"), 256))), "+/=", "xYz")
+    wide = F.base64(F.unhex(F.sha2(F.concat(F.lit("w"), i), 256)))
+    digits = F.rpad(F.abs(F.xxhash64("id")).cast("string"), 18, "7")
+
+    def one_of(options: list[Column | str], salt: int) -> Column:
+        return F.element_at(F.array(*[o if isinstance(o, Column) else F.lit(o) for o in options]), (F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(len(options))) + 1).cast("int"))
+
+    word = one_of([F.lit(w) for w in WORDS[::3]], 11)
+    other = one_of([F.lit(w) for w in WORDS[1::3]], 12)
+    telling = one_of(["token", "secret", "password", "api_key", "access-key", "auth", "API_KEY", "TOKEN", "pwd"], 13)
+    join = one_of([' = "', ": '", "=", '="', ": ", ' = '], 14)
+    close = F.when(join.contains('"'), '"').when(join.contains("'"), "'").otherwise("")
+    secret = one_of([
+        hexa, hexa, F.upper(hexa), F.substring(hexa, 1, 32), mixed, F.substring(mixed, 1, 24), wide, F.concat(F.lit("AKIA"), F.upper(F.substring(mixed, 1, 16))),
+        F.concat(F.lit("ghp_"), F.substring(mixed, 1, 36)), F.concat(F.lit("sk_live_"), F.substring(mixed, 3, 24)), F.concat(F.substring(mixed, 1, 9), F.lit("!7")), F.concat(F.lit("eyJ"), wide, F.lit("."), mixed),
+    ], 15)
+    harmless = one_of([
+        F.concat(F.lit("YOUR_"), F.upper(word), F.lit("_HERE")), F.lit("xxxxxxxxxxxxxxxxxxxx1"), F.concat(word, F.lit("-"), other, F.lit("-example")), F.concat(F.lit("<"), word, F.lit(">")),
+        F.concat(F.lit("${"), F.upper(word), F.lit("}")), F.lit("changeme123"), F.concat(word, F.lit("_"), other, F.lit("_"), word), F.lit("12345678"), F.lit("none"), F.lit("************"),
+        F.concat(F.initcap(word), F.initcap(other), F.initcap(word)), F.concat(other, word, other),
+    ], 16)
+    named_plain = F.concat(one_of(["commit ", "sha1: ", "md5 ", "checksum=", "etag: ", "revision ", "build id ", "digest sha256:"], 17), one_of([hexa, F.substring(hexa, 1, 32), F.sha2(i.cast("string"), 256)], 18))
+    loose_plain = one_of([
+        F.concat(F.substring(hexa, 1, 8), F.lit("-"), F.substring(hexa, 9, 4), F.lit("-4"), F.substring(hexa, 13, 3), F.lit("-a"), F.substring(hexa, 16, 3), F.lit("-"), F.substring(hexa, 19, 12)),
+        F.concat(word, F.lit("/"), other, F.lit("/"), word, F.lit("/"), other, F.lit("2.html")), F.concat(word, other, word, other, word, F.lit("9")), F.concat(digits, F.lit("00")), F.concat(F.upper(word), F.lit("_"), F.upper(other), F.lit("_"), F.upper(word), F.lit("_1234")),
+        F.concat(word, F.lit("-"), other, F.lit("-"), word, F.lit("-"), other, F.lit("-2024")), F.concat(other, word, other, word, other, digits.substr(1, 2)),
+    ], 19)
+    login = F.concat(F.lit("postgres://"), word, F.lit(":"), F.substring(mixed, 1, 14), F.lit("@db."), other, F.lit(".internal/x"))
+    plain_login = F.concat(F.lit("https://"), word, F.lit(":"), one_of(["password", "pass", "user", "secret"], 20), F.lit("@example.com/"))
+    block = F.concat(F.lit("-----BEGIN RSA PRIVATE KEY-----\n"), wide, F.lit("\n"), mixed, F.lit("\n-----END RSA PRIVATE KEY-----"))
+    loose_secret = one_of([F.concat(F.lit("AKIA"), F.upper(F.substring(mixed, 1, 16)), F.lit("")), F.concat(F.lit("ghp_"), F.substring(mixed, 1, 36)), wide, F.concat(F.lit("sk_live_"), F.substring(mixed, 3, 24))], 21)
+    kind = F.pmod(F.xxhash64("id", F.lit(22)), F.lit(16))
+    good = F.when(kind < 12, F.concat(telling, join, secret, close)).when(kind < 13, login).when(kind < 14, block).otherwise(loose_secret)
+    bad = F.when(kind < 6, F.concat(telling, join, harmless, close)).when(kind < 10, named_plain).when(kind < 11, plain_login).otherwise(loose_plain)
+    around = F.concat(other, F.lit(" "), word, F.lit(" "))
+    tail = one_of([" and", ".", "\n", ",", "", " ***", "!!", "###"], 23)
+    return spark.range(rows).select(
+        "id", F.lit(0).cast("long").alias("version"), F.concat(around, F.when(i % 2 == 1, good).otherwise(bad), tail, F.lit(" "), word).alias("text"),
+        (i % 2).cast("double").alias("label"), (F.pmod(F.xxhash64("id", F.lit(24)), F.lit(5)) == 0).alias("apart"),
+    )
+
+
+def _vectors(found: DataFrame) -> DataFrame:
+    return VectorAssembler(inputCols=FEATURES, outputCol="features", handleInvalid="keep").transform(found)
+
+
+def fit(spark: SparkSession, rows: int = TRAINING_ROWS) -> RandomForestClassificationModel:
+    """Forest over the first finding of each labelled text that is not set apart."""
+    labelled = labelled_findings(spark, rows)
+    found = described(findings(labelled.filter("NOT apart").select("id", "version", "text"))).filter("nth = 1")
+    train = _vectors(found).join(labelled.select("id", "label"), "id").select("features", "label").repartition(4)
+    return RandomForestClassifier(numTrees=30, maxDepth=8, seed=7, subsamplingRate=0.8, featureSubsetStrategy="sqrt").fit(train)
+
+
+def judged(found: DataFrame, model: RandomForestClassificationModel) -> DataFrame:
+    """Add score and is_secret."""
+    out = model.transform(_vectors(described(found)))
+    score = F.get(vector_to_array("probability"), F.lit(1))
+    return out.withColumn("score", score).withColumn("is_secret", F.col("score") >= THRESHOLD)
+
+
+def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Every candidate in the whole texts: (id, nth, start, size, value_sha256, score, is_secret), one row each.
+
+    ``start`` counts characters from 0. Values are given as digests, so that results hold no secrets. Null and empty
+    texts have no candidates. Repeated rows and rows that share an id give their findings each; null ids too. Other
+    columns are ignored.
+    """
+    texts = docs.select(F.col(id_col).alias("id"), F.lit(0).cast("long").alias("version"), F.col(text_col).alias("text"))
+    out = judged(findings(texts), fit(docs.sparkSession))
+    return out.select(F.col("id").alias(id_col), "nth", "start", F.length("value").alias("size"), F.sha2("value", 256).alias("value_sha256"), "score", "is_secret")
+
+
+def redacted(docs: DataFrame, text_col: str = "text", chars_col: str | None = "n_chars") -> DataFrame:
+    """``docs`` with every secret replaced by REDACTED; all columns, all rows.
+
+    Rows meet their findings by a hash of the text, so equal texts are scanned once. With ``chars_col``, that column is
+    set anew in changed rows.
+    """
+    texts = docs.filter(F.col(text_col).isNotNull()).select(F.xxhash64(text_col).alias("id"), F.lit(0).cast("long").alias("version"), F.col(text_col).alias("text"))
+    bad = kept(judged(findings(texts), fit(docs.sparkSession)).filter("is_secret").select(F.col("id").alias("__version"), "value").distinct(), "secrets")
+    # longer values first: one may be part of another
+    values = bad.groupBy("__version").agg(F.sort_array(F.collect_set(F.struct(F.length("value").alias("n"), "value")), asc=False).alias("__values"))
+    joined = docs.withColumn("__version", F.xxhash64(text_col)).join(values, "__version", "left")
+    text = F.aggregate(F.coalesce("__values", F.array().cast("array<struct<n:int,value:string>>")), F.col(text_col), lambda t, x: F.replace(t, x["value"], F.lit(REDACTED)))
+    out = joined.withColumn(text_col, F.when(F.col("__values").isNull(), F.col(text_col)).otherwise(text))
+    if chars_col and chars_col in docs.columns:
+        out = out.withColumn(chars_col, F.when(F.col("__values").isNull(), F.col(chars_col)).otherwise(F.length(text_col).cast(docs.schema[chars_col].dataType)))
+    return out.select(*docs.columns)
