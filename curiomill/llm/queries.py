@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from curiomill.llm.covertree import cosine_links
 from curiomill.llm.decontaminate import ORACLE as CONTAINED_SQL
 from curiomill.llm.decontaminate import contained_items
+from curiomill.llm.htmltext import extract_text
 from curiomill.llm.langid import identify
 from curiomill.llm.minhash import near_duplicates
 from curiomill.llm.packing import pack_documents
@@ -35,6 +36,10 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(table(spark, sf_dir, "documents"))
 
@@ -59,7 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_best_fit_packing, op2_substring_dedup, op3_decontamination, op4_language_id,
-        op6_secret_scan, op7_quality_classifier, op8_sharding,
+        op5_html_extraction, op6_secret_scan, op7_quality_classifier, op8_sharding,
         op9_embedding_near_dedup, op10_minhash_near_dedup,
     )
 }
