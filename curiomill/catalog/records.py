@@ -46,10 +46,8 @@ raws AS (SELECT *, CASE WHEN kind = 'NULL' OR txt IN ('N/A', '', '0') OR (kind <
 @query("X7_price_key", ("responses",), f"{_PARSED}{_PRICE_RAW} SELECT url, provider, price_key, price_raw FROM raws WHERE o IS NOT NULL")
 def x7(spark, sf):
     rows = table(spark, sf, "responses")
-    parsed = rows.withColumn("v", responses.parse(responses.isolate_json(F.col("response_text")))).filter("v IS NOT NULL")
-    return parsed.select(
-        "url", "provider", responses.price_key(F.col("v")).alias("price_key"), responses.price_raw(F.col("v")).alias("price_raw")
-    )
+    flat = responses.flat_fields(rows).filter("_is_object")
+    return flat.select("url", "provider", responses.price_key().alias("price_key"), responses.price_raw().alias("price_raw"))
 
 
 _CURRENCY_SITE = Q.site_currency("url", K.CURRENCY_SITES)
@@ -92,7 +90,7 @@ SELECT a.url, CASE WHEN a.reject_reason IS NULL THEN 'primary' WHEN b.url IS NOT
 )
 def x3(spark, sf):
     parsed = responses.parse_responses(table(spark, sf, "responses"))
-    best = responses.with_fallback(parsed.filter("provider = 'primary'"), parsed.filter("provider = 'fallback'"))
+    best = responses.with_fallback(parsed)
     return best.select(
         "url", "used", F.col("record.brand").alias("brand"), F.col("record.current_market_price").alias("price"), "reject_reason"
     )

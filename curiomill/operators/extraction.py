@@ -54,16 +54,20 @@ def custom_records(evidence: DataFrame, extractor: Extractor) -> DataFrame:
     """Run the caller's extractor over Arrow batches.
 
     It gets (url, content) and returns ``detected_currency`` and the 15 fields for the same rows in the same order;
-    columns it leaves out are null.
+    columns it leaves out are null. Another number of rows is an error.
     """
     kept = [f for f in evidence.schema.fields if f.name not in RAW_RECORD.names]
     schema = T.StructType(kept + RAW_RECORD.fields)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            got = extractor(batch[["url", "content"]]).reindex(columns=RAW_RECORD.names)
-            got.index = batch.index
-            yield pd.concat([batch[[f.name for f in kept]], got], axis=1)
+            plain = batch.astype(object)
+            got = extractor(plain[["url", "content"]])
+            if len(got) != len(plain):
+                raise ValueError(f"the extractor returned {len(got)} rows for {len(plain)}")
+            got = got.reindex(columns=RAW_RECORD.names).astype(object)
+            got = got.where(got.notna(), None)
+            yield pd.DataFrame({f.name: batch[f.name].array for f in kept} | {c: got[c].array for c in RAW_RECORD.names})
 
     return evidence.mapInPandas(run, schema)
 

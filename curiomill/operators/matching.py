@@ -2,70 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from curiomill.functions.urls import site
-from curiomill.session import SMALL_TABLE_ROWS, is_small
 
-# a base URL without a path can be a prefix of URLs of another site
-_BARE = r"^[^/]*(?://[^/]*)?$"
 
-
-def match_sources(urls: DataFrame, sources: DataFrame, small: int = SMALL_TABLE_ROWS) -> DataFrame:
+def match_sources(urls: DataFrame, sources: DataFrame) -> DataFrame:
     """Add ``match_class`` (1 exact, 2 prefix, 3 site, null none) and ``source_pos`` to rows with a ``url``.
 
-    Up to ``small`` sources the candidates of a site travel as one broadcast array per site and no URL is shuffled.
-    Beyond that the three lookups are shuffle joins against tables with one row per key.
+    Equi-joins on the URL, its prefixes and its site, for any number of sources; URLs are made distinct first, and every
+    lookup side has one row per key. The first source by position decides; one without a position comes last.
     """
-    slim = sources.select(F.col("pos").alias("pos"), "base_url")
-    if is_small(slim, small):
-        return _by_site_arrays(urls, slim)
+    slim = sources.select("pos", "base_url")
     return _by_lookups(urls, slim)
 
 
-def _rank(url: Column, source: Column) -> Column:
-    base = source["base_url"]
-    return (
-        F.when(url == base, 1)
-        .when(url.startswith(base) | base.startswith(url), 2)
-        .when(site(base) == site(url), 3)
-    )
-
-
-def _by_site_arrays(urls: DataFrame, sources: DataFrame) -> DataFrame:
-    """Candidates of a URL: sources of its site, sources without a path, and for a URL without a path all sources."""
-    entry = F.struct("pos", "base_url")
-    rows = [(r["pos"], r["base_url"]) for r in sources.orderBy("pos").collect()]
-    spark = urls.sparkSession
-    grouped = sources.groupBy(site(F.col("base_url")).alias("site")).agg(F.collect_list(entry).alias("candidates"))
-    every = F.from_json(
-        F.lit("[" + ",".join(_json(p, b) for p, b in rows) + "]"), "array<struct<pos:bigint,base_url:string>>"
-    )
-    bare = F.filter(every, lambda s: s["base_url"].rlike(_BARE))
-    known = urls.withColumn("site", site(F.col("url"))).join(F.broadcast(grouped), "site", "left")
-    has_bare = any("/" not in b.split("://", 1)[-1] for _, b in rows)
-    own = F.coalesce("candidates", F.array().cast("array<struct<pos:bigint,base_url:string>>"))
-    candidates = F.when(F.col("url").rlike(_BARE), every).otherwise(F.array_union(own, bare) if has_bare else own)
-    ranked = F.transform(
-        candidates,
-        lambda s: F.struct(_rank(F.col("url"), s).alias("match_class"), s["pos"].alias("source_pos")),
-    )
-    best = F.array_min(F.filter(ranked, lambda m: m["match_class"].isNotNull()))
-    return (
-        known.withColumn("best", best)
-        .withColumn("match_class", F.col("best.match_class").cast("bigint"))
-        .withColumn("source_pos", F.col("best.source_pos"))
-        .drop("best", "candidates", "site")
-    )
-
-
-def _json(pos: int, base_url: str) -> str:
-    import json
-
-    return json.dumps({"pos": pos, "base_url": base_url})
-
-
 def _prefix_rows(df: DataFrame, column: str, lengths: DataFrame | None) -> DataFrame:
     """Rows of every proper prefix of the column; only of the given lengths where they are known."""
     size = F.length(column)
@@ -78,12 +30,11 @@ def _prefix_rows(df: DataFrame, column: str, lengths: DataFrame | None) -> DataF
 
 
 def _by_lookups(urls: DataFrame, sources: DataFrame) -> DataFrame:
-    """Shuffle form. URLs are made distinct first; every lookup side has one row per key."""
     wanted = urls.select("url").distinct()
     first = sources.groupBy("base_url").agg(F.min("pos").alias("pos"))
 
     def hits(joined: DataFrame, rank: int) -> DataFrame:
-        return joined.select("url", F.struct(F.lit(rank).alias("match_class"), F.col("pos").alias("source_pos")).alias("m"))
+        return joined.select("url", F.struct(F.lit(rank).alias("match_class"), F.col("pos").isNull().alias("last"), F.col("pos").alias("source_pos")).alias("m"))
 
     exact = hits(wanted.join(first, wanted["url"] == first["base_url"]), 1)
     # lengths of base URLs: few distinct numbers, bounded by the longest URL

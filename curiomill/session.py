@@ -7,18 +7,15 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# rows up to which a configuration table may be broadcast or collected; larger ones are joined by shuffle
-SMALL_TABLE_ROWS = 10_000
-
-
 def shared_dir(spark: SparkSession) -> str:
-    """Folder that all executors can reach. Only a local session may fall back to a temporary one."""
+    """Folder that all executors can reach, named by the session. Only a session whose executors are threads of one
+    process (tests) may make its own."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
     if not named:
         named = context.getCheckpointDir()
     if not named:
-        if not context.master.startswith("local"):
+        if not context.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         named = tempfile.mkdtemp(prefix="curiomill-")
         context.setCheckpointDir(named)
@@ -40,7 +37,3 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
-
-def is_small(df: DataFrame, rows: int = SMALL_TABLE_ROWS) -> bool:
-    """True when the table has at most ``rows`` rows; reads no more than one row over the bound."""
-    return df.limit(rows + 1).count() <= rows
