@@ -50,8 +50,8 @@ def x7(spark, sf):
     return flat.select("url", "provider", responses.price_key().alias("price_key"), responses.price_raw().alias("price_raw"))
 
 
-_CURRENCY_SITE = Q.site_currency("url", K.CURRENCY_SITES)
-_COERCED = f"""{_PARSED}{_PRICE_RAW}, conv AS (SELECT *, coalesce({_CURRENCY_SITE}, CASE json_type(o, '$.detected_currency') WHEN 'NULL' THEN 'NONE'
+CURRENCY_SITE = Q.site_currency("url", K.CURRENCY_SITES)
+_COERCED = f"""{_PARSED}{_PRICE_RAW}, conv AS (SELECT *, coalesce({CURRENCY_SITE}, CASE json_type(o, '$.detected_currency') WHEN 'NULL' THEN 'NONE'
   ELSE upper(json_extract_string(o, '$.detected_currency')) END, 'INR') AS cur, {Q.parse_price('price_raw')} AS num FROM raws),
 typed AS (SELECT *, coalesce({Q.to_inr('num', 'cur')}, CASE WHEN json_type(o, '$.current_market_price') IN ('BIGINT', 'UBIGINT', 'DOUBLE', 'DECIMAL', 'HUGEINT')
    OR regexp_matches(trim(json_extract_string(o, '$.current_market_price')), '^[+-]?[0-9.]+$') THEN TRY_CAST(trim(json_extract_string(o, '$.current_market_price')) AS DOUBLE) END) AS p,
@@ -80,14 +80,13 @@ def x4(spark, sf):
     )
 
 
-@query(
-    "X3_primary_or_fallback",
-    ("responses",),
-    f"""{_COERCED}, a AS (SELECT * FROM coerced WHERE provider = 'primary'), b AS (SELECT * FROM coerced WHERE provider = 'fallback' AND reject_reason IS NULL)
+X3_SQL = f"""{_COERCED}, a AS (SELECT * FROM coerced WHERE provider = 'primary'), b AS (SELECT * FROM coerced WHERE provider = 'fallback' AND reject_reason IS NULL)
 SELECT a.url, CASE WHEN a.reject_reason IS NULL THEN 'primary' WHEN b.url IS NOT NULL THEN 'fallback' END AS used,
  CASE WHEN a.reject_reason IS NULL THEN a.brand ELSE b.brand END AS brand, CASE WHEN a.reject_reason IS NULL THEN a.price ELSE b.price END AS price,
- CASE WHEN a.reject_reason IS NOT NULL AND b.url IS NULL THEN 'both_failed' END AS reject_reason FROM a LEFT JOIN b ON a.url = b.url""",
-)
+ CASE WHEN a.reject_reason IS NOT NULL AND b.url IS NULL THEN 'both_failed' END AS reject_reason FROM a LEFT JOIN b ON a.url = b.url"""
+
+
+@query("X3_primary_or_fallback", ("responses",), X3_SQL)
 def x3(spark, sf):
     parsed = responses.parse_responses(table(spark, sf, "responses"))
     best = responses.with_fallback(parsed)
@@ -138,7 +137,7 @@ _DETECTED = "CASE k % 5 WHEN 0 THEN 'usd' WHEN 1 THEN 'EUR' WHEN 2 THEN NULL WHE
 @query(
     "X9_settle_currency",
     ("listings",),
-    f"SELECT url, coalesce({_CURRENCY_SITE}, upper(d), 'INR') AS currency FROM (SELECT root || path AS url, {_DETECTED} AS d FROM listings)",
+    f"SELECT url, coalesce({CURRENCY_SITE}, upper(d), 'INR') AS currency FROM (SELECT root || path AS url, {_DETECTED} AS d FROM listings)",
 )
 def x9(spark, sf):
     rows = table(spark, sf, "listings").select(F.concat("root", "path").alias("url"), F.expr(_DETECTED).alias("d"))
@@ -173,7 +172,7 @@ def x11(spark, sf):
     return normalise_to_inr(rows).drop("price")
 
 
-_LD_INR = Q.to_inr(Q.parse_price("ld_price"), f"coalesce({_CURRENCY_SITE}, ld_currency)")
+_LD_INR = Q.to_inr(Q.parse_price("ld_price"), f"coalesce({CURRENCY_SITE}, ld_currency)")
 
 
 @query(
@@ -344,7 +343,7 @@ def price_line_extractor(batch: pd.DataFrame) -> pd.DataFrame:
     f"""{C.EVIDENCE}, got AS (SELECT url, TRY_CAST(replace(regexp_extract(content, '(?m)^PRICE: [^0-9\\n]*([0-9.,]+)', 1), ',', '') AS DOUBLE) AS p,
   {_found('(?m)^TITLE: ([^\n]+)', 1, 'content')} AS brand FROM evidence)
 SELECT url, CASE WHEN v > 0 AND v <= 830000000 THEN round(v, 2) END AS price, nullif({Q.strip('brand')}, '') AS brand
-FROM (SELECT url, brand, {Q.to_inr('p', f"coalesce({_CURRENCY_SITE}, 'USD')")} AS v FROM got)""",
+FROM (SELECT url, brand, {Q.to_inr('p', f"coalesce({CURRENCY_SITE}, 'USD')")} AS v FROM got)""",
 )
 def x24(spark, sf):
     rows = C.clean_evidence(spark, sf).select("url", "content")

@@ -1,0 +1,123 @@
+"""Queries for stateful and streaming operators (T1-T4, T6, T8-T10), each run over all input that is there."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from curiomill import constants as K
+from curiomill.catalog.derive import table
+from curiomill.catalog.registry import query
+from curiomill.operators.breaker import breaker_status
+from curiomill.operators.chunks import mark_halted
+from curiomill.session import new_folder
+from curiomill.sources.store import stored_products
+from curiomill.streaming import flow
+from curiomill.streaming.breaker import stream_breaker
+
+_LIMIT, _WAIT = 3, 20_000  # failures in a row, seconds blocked: in the derived log failures are rarer than on a bad site
+
+
+def _stream(spark, df: DataFrame, name: str, files: int = 4) -> DataFrame:
+    """The rows as a stream of several files."""
+    path = new_folder(spark, name)
+    df.repartition(files).write.parquet(path)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files).parquet(path)
+
+
+def _results(spark, df: DataFrame, name: str) -> DataFrame:
+    path, marks = new_folder(spark, name), new_folder(spark, "checkpoint")
+    flow.write_stream(df, path, marks).awaitTermination()
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _decisions(spark, sf) -> DataFrame:
+    log = table(spark, sf, "attempts").select("attempt_id", "domain", "ts", "success")
+    return _results(spark, stream_breaker(_stream(spark, log, "attempts"), _LIMIT, _WAIT), "decisions")
+
+
+# the fold as a recursive query: one row per attempt, in order of each domain
+_BREAKER = f""", log AS (SELECT attempt_id, domain, epoch_us(CAST(ts AS TIMESTAMP)) AS us, success, row_number() OVER (PARTITION BY domain ORDER BY ts, attempt_id) AS rn FROM attempts),
+fold AS (SELECT attempt_id, domain, us, rn, success, true AS allowed, CAST(CASE WHEN success THEN 0 ELSE 1 END AS BIGINT) AS failures,
+  CAST(CASE WHEN NOT success AND {_LIMIT} <= 1 THEN us + {_WAIT}000000 END AS BIGINT) AS until FROM log WHERE rn = 1
+ UNION ALL
+ SELECT attempt_id, domain, us, rn, success, allowed, CAST(CASE WHEN NOT allowed THEN before WHEN success THEN 0 ELSE started + 1 END AS BIGINT),
+  CAST(CASE WHEN NOT allowed THEN blocked WHEN NOT success AND started + 1 >= {_LIMIT} THEN us + {_WAIT}000000 END AS BIGINT)
+ FROM (SELECT l.attempt_id, l.domain, l.us, l.rn, l.success, NOT coalesce(l.us < f.until, false) AS allowed, f.failures AS before,
+   CASE WHEN f.until IS NOT NULL THEN 0 ELSE f.failures END AS started, f.until AS blocked FROM fold f JOIN log l ON l.domain = f.domain AND l.rn = f.rn + 1))"""
+
+
+@query("T1_breaker", ("attempts",), f"{_BREAKER} SELECT attempt_id, allowed, failures AS failure_count, until AS blocked_until_us FROM fold")
+def t1(spark, sf):
+    made = _decisions(spark, sf)
+    return made.select("attempt_id", "allowed", "failure_count", F.unix_micros("blocked_until").alias("blocked_until_us"))
+
+
+@query(
+    "T2_breaker_status",
+    ("attempts",),
+    f"""{_BREAKER}, last AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY domain ORDER BY rn DESC) AS k FROM fold) WHERE k = 1), moment AS (SELECT max(us) AS now FROM log)
+SELECT domain, coalesce(until > now, false) AS is_blocked, failures AS failure_count, CASE WHEN until > now THEN (until - now) / 1000000.0::DOUBLE END AS remaining_seconds FROM last, moment""",
+)
+def t2(spark, sf):
+    made = _decisions(spark, sf)
+    now = made.agg(F.max("ts")).first()[0]
+    return breaker_status(made, now).select("domain", "is_blocked", "failure_count", "remaining_seconds")
+
+
+@query("T3_allowed_per_domain", ("attempts",), f"{_BREAKER} SELECT domain, count(*) FILTER (WHERE allowed) AS allowed, count(*) FILTER (WHERE NOT allowed) AS refused FROM fold GROUP BY domain")
+def t3(spark, sf):
+    return _decisions(spark, sf).groupBy("domain").agg(F.count_if("allowed").alias("allowed"), F.count_if(~F.col("allowed")).alias("refused"))
+
+
+@query(
+    "T4_run_wide_halt",
+    ("attempts",),
+    f""", log AS (SELECT domain, attempt_id, ts, success, sum(CAST(success AS INT)) OVER (PARTITION BY domain ORDER BY ts, attempt_id) AS island FROM attempts),
+streak AS (SELECT *, sum(CAST(NOT success AS INT)) OVER (PARTITION BY domain, island ORDER BY ts, attempt_id) AS run FROM log),
+halts AS (SELECT domain, ts AS halt_ts, attempt_id AS halt_id FROM (SELECT *, row_number() OVER (PARTITION BY domain ORDER BY ts, attempt_id) AS k FROM streak WHERE run >= {_LIMIT} AND NOT success) WHERE k = 1)
+SELECT attempt_id, coalesce((ts, attempt_id) <= (halt_ts, halt_id), true) AS processed FROM attempts LEFT JOIN halts USING (domain)""",
+)
+def t4(spark, sf):
+    log = table(spark, sf, "attempts").select("attempt_id", "domain", "ts", "success")
+    return mark_halted(log, "domain", F.struct("ts", "attempt_id"), "success", _LIMIT).select("attempt_id", "processed")
+
+
+@query("T6_seen_once", ("attempts",), "SELECT DISTINCT url FROM attempts")
+def t6(spark, sf):
+    urls = _stream(spark, table(spark, sf, "attempts").select("url"), "urls")
+    return _results(spark, flow.seen_once(urls), "seen")
+
+
+def _pages(spark, sf) -> DataFrame:
+    return table(spark, sf, "product_pages")
+
+
+def _flow(spark, sf, target: int | None = None, again: bool = False) -> DataFrame:
+    store, marks = new_folder(spark, "store"), new_folder(spark, "checkpoint")
+    pages = _stream(spark, _pages(spark, sf).repartition(4), "pages", 2)
+    flow.run_flow(pages, store, marks, target)
+    if again:  # a restart from the checkpoint finds nothing new
+        flow.run_flow(pages, store, marks, target)
+    return stored_products(spark, store)
+
+
+@query("T10_product_flow", ("product_pages",), None)
+def t10(spark, sf):
+    """Rows in the store after the flow, beside those of the batch job over the same pages."""
+    from curiomill.plans.batch import run_batch
+
+    batch = run_batch(_pages(spark, sf), new_folder(spark, "batch")).products
+    made = _flow(spark, sf).select("source_url", F.lit(True).alias("in_flow"))
+    return made.join(batch.select("source_url", F.lit(True).alias("in_batch")), "source_url", "full").groupBy("in_flow", "in_batch").agg(F.count("*").alias("urls"))
+
+
+@query("T9_resume", ("product_pages",), None)
+def t9(spark, sf):
+    """After a restart from the checkpoint: rows and distinct URLs of the store."""
+    return _flow(spark, sf, again=True).agg(F.count("*").alias("rows"), F.count_distinct("source_url").alias("urls"), F.max("id").alias("top"))
+
+
+@query("T8_stop_at_target", (), "SELECT CAST(50 AS BIGINT) AS rows")
+def t8(spark, sf):
+    return _flow(spark, sf, target=50).agg(F.count("*").alias("rows"))

@@ -8,6 +8,7 @@ from curiomill import constants as K
 from curiomill.catalog import sqlparts as Q
 from curiomill.catalog.derive import table
 from curiomill.catalog.registry import query
+from curiomill.catalog.reports import REPORT
 from curiomill.operators import dedup, evidence, reports, sources_config
 from curiomill.schemas import BOOL_FIELDS, RECORD_FIELDS
 from curiomill.session import new_folder
@@ -215,9 +216,11 @@ def s20(spark, sf):
 
 @query(
     "S21_run_report",
-    ("products",),
-    "SELECT true AS success, count(*) AS rows_collected, CAST(NULL AS VARCHAR) AS error FROM products",
+    ("products", "attempts"),
+    f"""SELECT true AS success, total_rows AS rows_collected, CAST(NULL AS VARCHAR) AS error, completion_percent, successes, success_rate, urls_failed,
+ runtime, price_median, price_count FROM ({REPORT})""",
 )
 def s21(spark, sf):
     report = reports.final_report(table(spark, sf, "products"), table(spark, sf, "attempts"), K.TARGET_ROWS)
-    return reports.run_report(report).select("success", "rows_collected", "error")
+    fields = "completion_percent double, successes bigint, success_rate double, urls_failed bigint, runtime string, price_median double, price_count bigint"
+    return reports.run_report(report).withColumn("r", F.from_json("report", fields)).select("success", "rows_collected", "error", "r.*")

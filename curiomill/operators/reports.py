@@ -41,24 +41,32 @@ def failures_by_type(attempts: DataFrame) -> DataFrame:
     return attempts.filter("failure_type IS NOT NULL").groupBy("failure_type").agg(F.count("*").alias("failures"))
 
 
+def _rate(good: Column, of: Column) -> Column:
+    return F.coalesce(F.try_divide(good, of), F.lit(0.0))
+
+
+def _good() -> Column:
+    return F.count_if(F.col("success"))
+
+
+def _bad() -> Column:
+    return F.count_if(~F.col("success"))
+
+
+def _stored() -> Column:
+    return F.count_if(F.col("success") & (F.col("kind") == "product"))
+
+
 def run_success_rate(attempts: DataFrame) -> DataFrame:
     """One row: successes over all finished attempts of the run form."""
-    good, bad = F.count_if(F.col("success")), F.count_if(~F.col("success"))
-    return attempts.agg(
-        good.alias("successes"),
-        bad.alias("failures"),
-        F.coalesce(F.try_divide(good, good + bad), F.lit(0.0)).alias("success_rate"),
-    )
+    return attempts.agg(_good().alias("successes"), _bad().alias("failures"), _rate(_good(), _good() + _bad()).alias("success_rate"))
 
 
 def state_success_rate(attempts: DataFrame) -> DataFrame:
     """One row: stored products over distinct processed URLs, listing pages included."""
-    stored = F.count_if(F.col("success") & (F.col("kind") == "product"))
     processed = F.count_distinct("url")
     return attempts.agg(
-        stored.alias("successes"),
-        processed.alias("urls_processed"),
-        F.coalesce(F.try_divide(stored, processed), F.lit(0.0)).alias("success_rate"),
+        _stored().alias("successes"), processed.alias("urls_processed"), _rate(_stored(), processed).alias("success_rate")
     )
 
 
@@ -68,51 +76,49 @@ def url_outcomes(attempts: DataFrame) -> DataFrame:
     return attempts.groupBy("url").agg(reason.alias("last_failure"))
 
 
+def _failed_urls() -> Column:
+    return F.count_distinct(F.when(F.col("failure_type").isNotNull(), F.col("url")))
+
+
 def url_outcome_counts(attempts: DataFrame) -> DataFrame:
     """One row: distinct processed and distinct failed URLs."""
-    return attempts.agg(
-        F.count_distinct("url").alias("urls_processed"),
-        F.count_distinct(F.when(F.col("failure_type").isNotNull(), F.col("url"))).alias("urls_failed"),
-    )
+    return attempts.agg(F.count_distinct("url").alias("urls_processed"), _failed_urls().alias("urls_failed"))
 
 
 def _mean_time(name: str) -> Column:
-    seconds = F.nullif(F.col(name), F.lit(0.0))
+    seconds = F.when(F.col("success"), F.nullif(F.col(name), F.lit(0.0)))
     return F.round(_mean(F.sum(seconds.cast("decimal(20,4)")), F.count(seconds)), 2)
 
 
 def mean_times(attempts: DataFrame) -> DataFrame:
     """One row: mean scrape and extraction seconds of successes; zero samples do not count."""
-    return attempts.filter("success").agg(
-        _mean_time("scrape_time").alias("avg_scrape_time"),
-        _mean_time("extraction_time").alias("avg_extraction_time"),
+    return attempts.agg(
+        _mean_time("scrape_time").alias("avg_scrape_time"), _mean_time("extraction_time").alias("avg_extraction_time")
     )
 
 
 def attempt_totals(attempts: DataFrame) -> DataFrame:
     """One row: attempts, successes and stored rows."""
-    return attempts.agg(
-        F.count("*").alias("total_attempts"),
-        F.count_if(F.col("success")).alias("successes"),
-        F.count_if(F.col("success") & (F.col("kind") == "product")).alias("row_count"),
-    )
+    return attempts.agg(F.count("*").alias("total_attempts"), _good().alias("successes"), _stored().alias("row_count"))
 
 
-def _seconds(first: Column, last: Column) -> Column:
-    return (F.unix_micros(last) - F.unix_micros(first)) / F.lit(1_000_000.0)
+def _seconds() -> Column:
+    return (F.unix_micros(F.max("ts").cast("timestamp")) - F.unix_micros(F.min("ts").cast("timestamp"))) / F.lit(1_000_000.0)
 
 
-def runtime(attempts: DataFrame) -> DataFrame:
-    """One row: run time in seconds and as text."""
-    first, last = F.min("ts").cast("timestamp"), F.max("ts").cast("timestamp")
-    seconds = F.floor(_seconds(first, last)).cast("bigint")
-    text = F.concat_ws(
+def _runtime_text() -> Column:
+    seconds = F.floor(_seconds()).cast("bigint")
+    return F.concat_ws(
         ":",
         F.floor(seconds / 3600).cast("string"),
         F.lpad((F.floor(seconds / 60) % 60).cast("string"), 2, "0"),
         F.lpad((seconds % 60).cast("string"), 2, "0"),
     )
-    return attempts.agg(_seconds(first, last).alias("runtime_seconds"), text.alias("runtime"))
+
+
+def runtime(attempts: DataFrame) -> DataFrame:
+    """One row: run time in seconds and as text."""
+    return attempts.agg(_seconds().alias("runtime_seconds"), _runtime_text().alias("runtime"))
 
 
 def completion(products: DataFrame, target_rows: int) -> DataFrame:
@@ -138,9 +144,13 @@ def final_report(products: DataFrame, attempts: DataFrame, target_rows: int) ->
         F.col("min").alias("price_min"), F.col("max").alias("price_max"), F.col("avg").alias("price_avg"),
         F.col("median").alias("price_median"), F.col("count").alias("price_count"),
     )
-    parts = [
-        run_success_rate(attempts), url_outcome_counts(attempts), mean_times(attempts), runtime(attempts), kinds, prices,
-    ]
+    run = attempts.agg(  # all measures of the log in one scan
+        _good().alias("successes"), _bad().alias("failures"), _rate(_good(), _good() + _bad()).alias("success_rate"),
+        F.count_distinct("url").alias("urls_processed"), _failed_urls().alias("urls_failed"),
+        _mean_time("scrape_time").alias("avg_scrape_time"), _mean_time("extraction_time").alias("avg_extraction_time"),
+        _seconds().alias("runtime_seconds"), _runtime_text().alias("runtime"),
+    )
+    parts = [run, kinds, prices]
     report = keyed(completion(products, target_rows))
     for part in parts:
         report = report.join(keyed(part), one)

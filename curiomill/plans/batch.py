@@ -46,7 +46,13 @@ def process_pages(
     found = found.withColumn("content", F.when(F.col("skip_reason").isNull(), F.col("content")))
     found = found.withColumn("gate_open", E.passes_auction_gate(url, F.col("content")))
     slim = found.select("pos", "url", "skip_reason", "ld_price", "ld_currency", "content", "gate_open")
-    records = extract_records(slim, extractor)
+    if extractor is None:
+        records = extract_records(slim)
+    else:  # a caller's extractor sees open pages only
+        opened = slim.filter("skip_reason IS NULL AND gate_open")
+        records = extract_records(opened, extractor).unionByName(
+            slim.filter("skip_reason IS NOT NULL OR NOT gate_open"), allowMissingColumns=True
+        )
 
     price = M.override_price(url, F.col("current_market_price"), F.col("ld_price"), F.col("ld_currency"))
     failure = F.when(F.col("skip_reason").isNotNull(), F.lit(None)).when(~F.col("gate_open"), "no_price").otherwise(
@@ -63,16 +69,15 @@ def process_pages(
 
 def run_batch(
     pages: DataFrame,
+    work_path: str,
     stored: DataFrame | None = None,
     target_rows: int | None = None,
     extractor: Extractor | None = None,
-    work_path: str | None = None,
 ) -> BatchResult:
-    """Split the outcomes. With ``work_path`` they are written there once and all results read from it."""
+    """Split the outcomes. They are written to ``work_path`` once, and all results read from there."""
     outcomes = process_pages(pages, stored, extractor)
-    if work_path is not None:
-        outcomes.write.mode("overwrite").parquet(work_path)
-        outcomes = pages.sparkSession.read.schema(outcomes.schema).parquet(work_path)
+    outcomes.write.mode("overwrite").parquet(work_path)
+    outcomes = pages.sparkSession.read.schema(outcomes.schema).parquet(work_path)
     made = outcomes.filter("skip_reason IS NULL AND failure_type IS NULL").select(
         "pos", F.col("url").alias("source_url"), F.col("confidence").alias("extraction_confidence"), *RECORD_FIELDS
     )

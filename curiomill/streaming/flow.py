@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -9,7 +11,8 @@ from pyspark.sql.streaming import StreamingQuery
 from curiomill.operators.extraction import Extractor
 from curiomill.plans.batch import process_pages
 from curiomill.schemas import RECORD_FIELDS
-from curiomill.sources.store import insert_products
+from curiomill.session import cut_lineage
+from curiomill.sources.store import insert_products, stored_products
 
 
 def seen_once(urls: DataFrame, event_time: str | None = None, delay: str | None = None) -> DataFrame:
@@ -19,9 +22,9 @@ def seen_once(urls: DataFrame, event_time: str | None = None, delay: str | None
     return urls.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(["url"])
 
 
-def product_rows(pages: DataFrame, extractor: Extractor | None = None) -> DataFrame:
-    """Stateless part of the flow: product rows of pages that gave a valid record."""
-    good = process_pages(pages, None, extractor).filter("skip_reason IS NULL AND failure_type IS NULL")
+def product_rows(outcomes: DataFrame) -> DataFrame:
+    """Product rows of the pages that gave a valid record, from outcomes of ``process_pages``."""
+    good = outcomes.filter("skip_reason IS NULL AND failure_type IS NULL")
     return good.select(
         "pos", F.col("url").alias("source_url"), F.col("confidence").alias("extraction_confidence"), *RECORD_FIELDS
     )
@@ -33,24 +36,30 @@ def run_flow(
     checkpoint: str,
     target_rows: int | None = None,
     extractor: Extractor | None = None,
-) -> StreamingQuery:
-    """Start the flow over all pages available now and append each batch to the store.
+) -> int:
+    """Run the flow over all pages available now, append each batch to the store, and return the stored rows.
 
-    The batch number names the folder a batch is written to, so a restarted run continues without duplicates.
-    Once the target is reached, later batches add nothing.
+    The batch number names the folder a batch is written to, so a restarted run continues without duplicates. Rows are
+    stamped with a moment that follows from the batch number, so a batch that is replayed gives the same table. Once
+    the target is reached the query is stopped, and what is left is not extracted.
     """
+    reached = threading.Event()
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        stamped = batch.withColumn("scrape_timestamp", F.current_timestamp())
+        if reached.is_set():
+            return
+        # pages are worked on once a batch; the insert looks at the rows several times
+        outcomes = cut_lineage(process_pages(batch, None, extractor), "batch")
+        stamped = product_rows(outcomes).withColumn("scrape_timestamp", F.timestamp_seconds(F.lit(batch_id)))
         insert_products(stamped, store_path, batch_id, "pos", target_rows)
+        if target_rows is not None and stored_products(batch.sparkSession, store_path).count() >= target_rows:
+            reached.set()
 
-    return (
-        product_rows(pages, extractor)
-        .writeStream.foreachBatch(save)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    running = pages.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    while not running.awaitTermination(1):
+        if reached.is_set():
+            running.stop()
+    return stored_products(pages.sparkSession, store_path).count()
 
 
 def write_stream(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
