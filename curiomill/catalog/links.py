@@ -10,6 +10,7 @@ from curiomill.catalog.derive import table
 from curiomill.catalog.registry import query
 from curiomill.functions import urls as U
 from curiomill.operators import frontier, links, matching, sources_config
+from curiomill.sources.store import append_sources
 
 _LISTING_ANCHORS = ", " + Q.anchors("listing_pages", "product_selector", "next_page_selector", "category")
 _PAGE_ANCHORS = Q.anchors("pages")
@@ -167,10 +168,7 @@ once AS (SELECT url, page_url FROM (SELECT url, page_url, row_number() OVER (PAR
 
 
 def _queue(spark, sf):
-    pages = table(spark, sf, "listing_pages")
-    found = links.product_links(pages).join(
-        pages.select(F.col("url").alias("page_url"), "category"), "page_url"
-    )
+    found = links.product_links(table(spark, sf, "listing_pages"), keep=("category",))
     return found.select(
         F.struct("page_url", "pos").alias("pos"), "page_url", "url", "category", F.lit(None).cast("string").alias("base_url")
     )
@@ -269,6 +267,18 @@ def l20(spark, sf):
     return sources_config.discover_auctions(table(spark, sf, "calendar_pages"))
 
 
+@query(
+    "L20_append_discovered",
+    ("sources", "calendar_pages"),
+    f""", {Q.anchors('calendar_pages')}, hrefs AS (SELECT DISTINCT href FROM anchors WHERE starts_with(href, '/auction/') AND NOT contains(href, '/lot/')),
+found AS (SELECT 'https://www.bonhams.com' || href AS base_url FROM hrefs WHERE string_split(trim(href, '/'), '/')[2] IS NOT NULL)
+SELECT pos, base_url FROM sources UNION ALL SELECT (SELECT max(pos) FROM sources) + row_number() OVER (ORDER BY base_url), base_url FROM found""",
+)
+def l20_append(spark, sf):
+    found = sources_config.discover_auctions(table(spark, sf, "calendar_pages"))
+    return append_sources(table(spark, sf, "sources"), found).select("pos", "base_url")
+
+
 @query(
     "L21_classify_links",
     ("listing_pages",),

@@ -1,22 +1,11 @@
-"""Per-domain circuit breaker over an attempt log.
-
-The rule is a sequential fold. A domain's log is cut into time chunks; each chunk is folded once for every state it
-may be entered with, the chunk results are chained per domain, and each chunk is folded again from its real state.
-So a domain that holds a large part of the log is still worked on by as many tasks as it has chunks.
-"""
+"""The rule of the per-domain circuit breaker, and the status it leaves."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curiomill import constants as K
-from curiomill.operators.chunks import DAY_SECONDS, time_chunk
-
 OPEN = -1  # marks "no block"; times are microseconds since the epoch
 
 
@@ -38,121 +27,8 @@ def fold(ts: np.ndarray, ok: np.ndarray, count: int, until: int, threshold: int,
     return allowed, counts, untils, count, until
 
 
-def exits(ts: np.ndarray, ok: np.ndarray, threshold: int, cooldown: int) -> pd.DataFrame:
-    """Final state of a chunk for every entry state.
-
-    Rows with ``entry_count`` are for an unblocked entry. Rows with ``entry_until`` are for a block that ends in
-    (previous row's value, this value]: the fold then starts afresh at the first attempt from there on.
-    """
-    n = len(ts)
-    failures = np.zeros(n + 1, dtype=np.int64)
-    for i in range(n - 1, -1, -1):
-        failures[i] = 0 if ok[i] else failures[i + 1] + 1
-    final: list[tuple[int, int]] = [(0, OPEN)] * (n + 1)
-
-    def from_row(k: int, count: int) -> tuple[int, int]:
-        need = threshold - count
-        if failures[k] >= need:
-            until = int(ts[k + need - 1]) + cooldown
-            restart = int(np.searchsorted(ts, until, side="left"))
-            return (threshold, until) if restart >= n else final[restart]
-        end = k + int(failures[k])
-        return (count + int(failures[k]), OPEN) if end >= n else final[end + 1]
-
-    for k in range(n - 1, -1, -1):
-        final[k] = from_row(k, 0)
-    rows = [(c, OPEN, *from_row(0, c)) for c in range(threshold)]
-    last = min(n, int(np.searchsorted(ts, ts[0] + cooldown, side="left")) + 1)
-    for k in range(last):
-        if k + 1 < last and final[k] == final[k + 1]:
-            continue
-        rows.append((OPEN, int(ts[k]), *final[k]))
-    return pd.DataFrame(rows, columns=["entry_count", "entry_until", "exit_count", "exit_until"], dtype="int64")
-
-
-def breaker_log(
-    attempts: DataFrame,
-    threshold: int = K.BREAKER_THRESHOLD,
-    cooldown_seconds: int = K.BREAKER_COOLDOWN_SECONDS,
-    chunk_seconds: int = DAY_SECONDS,
-) -> DataFrame:
-    """Attempts (attempt_id, domain, ts, success) with ``allowed``, ``failure_count`` and ``blocked_until``.
-
-    Blocked attempts are not made, so their outcome is not recorded.
-    """
-    chunk_seconds = max(chunk_seconds, cooldown_seconds)
-    cooldown = cooldown_seconds * 1_000_000
-    log = attempts.select(
-        "attempt_id",
-        "domain",
-        F.unix_micros(F.col("ts").cast("timestamp")).alias("us"),
-        "success",
-        time_chunk(F.col("ts"), chunk_seconds).alias("chunk"),
-    )
-
-    def summarise(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["us", "attempt_id"], kind="stable")
-        out = exits(pdf["us"].to_numpy(), pdf["success"].to_numpy(), threshold, cooldown)
-        out.insert(0, "domain", key[0])
-        out.insert(1, "chunk", key[1])
-        return out
-
-    table = log.groupBy("domain", "chunk").applyInPandas(
-        summarise,
-        "domain string, chunk bigint, entry_count bigint, entry_until bigint, exit_count bigint, exit_until bigint",
-    )
-
-    def chain(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        count, until, rows = 0, OPEN, []
-        for chunk, part in pdf.sort_values("chunk", kind="stable").groupby("chunk", sort=True):
-            rows.append((key[0], chunk, count, until))
-            if until == OPEN:
-                hit = part[part["entry_count"] == count]
-            else:
-                hit = part[(part["entry_until"] != OPEN) & (part["entry_until"] >= until)].sort_values("entry_until")
-            if len(hit):
-                count, until = int(hit["exit_count"].iloc[0]), int(hit["exit_until"].iloc[0])
-        return pd.DataFrame(rows, columns=["domain", "chunk", "count", "until"])
-
-    entries = table.groupBy("domain").applyInPandas(
-        chain, "domain string, chunk bigint, count bigint, until bigint"
-    )
-
-    def replay(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["us", "attempt_id"], kind="stable")
-        allowed, counts, untils, _, _ = fold(
-            pdf["us"].to_numpy(), pdf["success"].to_numpy(),
-            int(pdf["count"].iloc[0]), int(pdf["until"].iloc[0]), threshold, cooldown,
-        )
-        return pd.DataFrame(
-            {
-                "attempt_id": pdf["attempt_id"].to_numpy(), "domain": pdf["domain"].to_numpy(),
-                "us": pdf["us"].to_numpy(), "success": pdf["success"].to_numpy(),
-                "allowed": allowed, "failure_count": counts, "until": untils,
-            }
-        )
-
-    replayed = (
-        log.join(entries, ["domain", "chunk"])
-        .groupBy("domain", "chunk")
-        .applyInPandas(
-            replay,
-            "attempt_id bigint, domain string, us bigint, success boolean, allowed boolean, failure_count bigint, until bigint",
-        )
-    )
-    return replayed.select(
-        "attempt_id",
-        "domain",
-        F.timestamp_micros("us").alias("ts"),
-        "success",
-        "allowed",
-        "failure_count",
-        F.when(F.col("until") != OPEN, F.timestamp_micros("until")).alias("blocked_until"),
-    )
-
-
 def breaker_status(log: DataFrame, at) -> DataFrame:
-    """Status of every domain at a moment, from ``breaker_log`` output."""
+    """Status of every domain at a moment, from the decisions of ``stream_breaker``."""
     moment = F.lit(at).cast("timestamp")
     state = F.struct("ts", "attempt_id", "failure_count", "blocked_until")
     last = log.filter(F.col("ts") <= moment).groupBy("domain").agg(F.max(state).alias("s"))

@@ -26,7 +26,7 @@ def _has_class(classes: Column, name: Column) -> Column:
 
 
 def matches_selector(a: Column, selector: Column) -> Column:
-    """Does the anchor match the selector held in a column? Covers the families that sources use."""
+    """Does the anchor match the selector held in a column? Covers the families that sources use; others are an error."""
     part = F.regexp_extract(selector, r"""^a\[href\*=["']?([^"'\]]*)["']?\]$""", 1)
     rel = F.regexp_extract(selector, r"""^a\[rel=["']?([^"'\]]*)["']?\]$""", 1)
     tn = F.regexp_extract(selector, r"""^a\[data-tn=["']?([^"'\]]*)["']?\]$""", 1)
@@ -38,6 +38,7 @@ def matches_selector(a: Column, selector: Column) -> Column:
         .when(tn != "", a["data_tn"] == tn)
         .when(cls != "", _has_class(a["class"], cls))
         .when(selector == "a[data-page-number]", a["numbered"])
+        .when(selector.isNotNull(), F.raise_error(F.concat(F.lit("unsupported selector: "), selector)).cast("boolean"))
         .otherwise(F.lit(False))
     )
 
@@ -66,9 +67,12 @@ def select_links(pages: DataFrame, selector: str = "product_selector") -> DataFr
 
 
 def product_links(
-    pages: DataFrame, selector: str = "product_selector", wide: bool = False, quota: int | None = None
+    pages: DataFrame, selector: str = "product_selector", wide: bool = False, quota: int | None = None, keep: tuple[str, ...] = ()
 ) -> DataFrame:
-    """Resolved product links of listing pages, selector fallbacks applied, at most ``quota`` per page."""
+    """Resolved product links of listing pages, selector fallbacks applied, at most ``quota`` per page.
+
+    ``keep`` names columns of the page that its links carry on.
+    """
     hrefs = F.filter(
         F.transform(selected_anchors(F.col(selector), wide), lambda a: F.struct(a["pos"], a["href"])),
         lambda a: a["href"] != "",
@@ -76,8 +80,8 @@ def product_links(
     chosen = F.slice(hrefs, 1, quota) if quota is not None else hrefs
     return (
         with_anchors(pages)
-        .select(F.col("url").alias("page_url"), F.explode(chosen).alias("a"))
-        .select("page_url", "a.pos", U.resolve(F.col("page_url"), F.col("a.href")).alias("url"))
+        .select(F.col("url").alias("page_url"), *keep, F.explode(chosen).alias("a"))
+        .select("page_url", "a.pos", U.resolve(F.col("page_url"), F.col("a.href")).alias("url"), *keep)
     )
 
 

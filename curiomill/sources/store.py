@@ -44,6 +44,13 @@ def assign_ids(rows: DataFrame, start: int = 0, order: tuple[str, ...] = ("scrap
     )
 
 
+def append_sources(sources: DataFrame, found: DataFrame) -> DataFrame:
+    """Sources with new ones at the end: their positions go on after the largest, by base URL."""
+    top = sources.agg(F.coalesce(F.max("pos"), F.lit(0))).first()[0]
+    placed = assign_ids(found.drop("pos"), top, ("base_url",)).withColumnRenamed("id", "pos")
+    return sources.unionByName(placed.select(*sources.columns))
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
@@ -82,7 +89,10 @@ def insert_products(
 
 
 def delete_products(spark: SparkSession, path: str, keys: DataFrame, out_path: str) -> DataFrame:
-    """Store without the listed URLs, written to a new folder (a table that is being read is never replaced)."""
+    """Store without the listed URLs, written to a new folder (a table that is being read is never replaced). With no
+    URL listed nothing is written."""
+    if keys.isEmpty():
+        return stored_products(spark, path)
     kept = delete_keys(stored_products(spark, path).select(*PRODUCTS.names), keys)
     kept.write.mode("overwrite").parquet(f"{out_path}/batch=0")
     return stored_products(spark, out_path)
