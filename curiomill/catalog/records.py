@@ -15,6 +15,7 @@ from curiomill.functions import money as M
 from curiomill.functions.text import blank_to_null
 from curiomill.operators import extraction, quality, responses
 from curiomill.operators.currency import normalise_to_inr
+from curiomill.schemas import BLANKABLE_FIELDS, RECORD_FIELDS, STRING_FIELDS
 
 # -- responses ------------------------------------------------------------------
 
@@ -51,6 +52,10 @@ def x7(spark, sf):
 
 
 CURRENCY_SITE = Q.site_currency("url", K.CURRENCY_SITES)
+_OTHER_FIELDS = ", ".join(
+    f"CASE WHEN reject_reason IS NULL THEN {f'nullif({Q.strip(t)}, {chr(39) * 2})' if f in BLANKABLE_FIELDS else t} END AS {f}"
+    for f in STRING_FIELDS if f not in ("brand", "material_used", "weight") for t in [f"json_extract_string(o, '$.{f}')"]
+)
 _COERCED = f"""{_PARSED}{_PRICE_RAW}, conv AS (SELECT *, coalesce({CURRENCY_SITE}, CASE json_type(o, '$.detected_currency') WHEN 'NULL' THEN 'NONE'
   ELSE upper(json_extract_string(o, '$.detected_currency')) END, 'INR') AS cur, {Q.parse_price('price_raw')} AS num FROM raws),
 typed AS (SELECT *, coalesce({Q.to_inr('num', 'cur')}, CASE WHEN json_type(o, '$.current_market_price') IN ('BIGINT', 'UBIGINT', 'DOUBLE', 'DECIMAL', 'HUGEINT')
@@ -68,15 +73,16 @@ coerced AS (SELECT url, provider, reject_reason, CASE WHEN reject_reason IS NULL
   CASE WHEN reject_reason IS NULL THEN nullif({Q.strip("json_extract_string(o, '$.brand')")}, '') END AS brand,
   CASE WHEN reject_reason IS NULL THEN nullif({Q.strip("json_extract_string(o, '$.material_used')")}, '') END AS material_used,
   CASE WHEN reject_reason IS NULL THEN json_extract_string(o, '$.weight') END AS weight,
+  {_OTHER_FIELDS}, CAST(NULL AS BOOLEAN) AS limited_edition,
   CASE WHEN reject_reason IS NULL THEN scratch END AS scratches, CASE WHEN reject_reason IS NULL THEN coalesce(wt, 'Unknown') END AS work_type FROM reasons)"""
 
 
 @query("X4_coerce_record", ("responses",), f"{_COERCED} SELECT * FROM coerced")
 def x4(spark, sf):
     parsed = responses.parse_responses(table(spark, sf, "responses"))
+    rest = [f for f in RECORD_FIELDS if f != "current_market_price"]
     return parsed.select(
-        "url", "provider", "reject_reason", F.col("record.current_market_price").alias("price"),
-        *[F.col("record")[c].alias(c) for c in ("brand", "material_used", "weight", "scratches", "work_type")],
+        "url", "provider", "reject_reason", F.col("record.current_market_price").alias("price"), *[F.col("record")[c].alias(c) for c in rest]
     )
 
 
