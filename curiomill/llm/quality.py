@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from curiomill.llm import words as W
-from curiomill.llm.tables import kept
+from curiomill.llm.tables import bounded_sample, kept
 
 TOWARDS_POOLED = 0.1
 TOWARDS_IDENTITY = 0.02
@@ -172,7 +172,7 @@ def fit(found: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col:
     logs = np.log(np.diagonal(factors, axis1=1, axis2=2)).sum(axis=1)
     model = Model(means, np.linalg.inv(factors), float(logs[0] - logs[1]), 1.0, 0.0)
 
-    sample = train.orderBy(F.xxhash64("id"), "id", "label").limit(CALIBRATION_ROWS).collect()
+    sample = bounded_sample(train, ["id", "label"], CALIBRATION_ROWS)
     d = np.clip(model.difference(np.array([r.x for r in sample])), -200, 200)
     y = np.array([r.label for r in sample], float)
     d, w = d / 10, np.zeros(2)

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -30,3 +31,15 @@ def kept(df: DataFrame, name: str) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def bounded_sample(df: DataFrame, columns: list[str], rows: int) -> list:
+    """At most ``rows`` rows, those with the smallest hashes of ``columns``, for fitting on the driver.
+
+    Rows above a hash that a quarter more rows than asked for are expected to stay below are left out first, so what
+    partitions send does not grow with their number.
+    """
+    span = 1 << 31
+    limit = min(span, 5 * rows * span // (4 * max(df.count(), 1)) + 1)
+    drawn = F.pmod(F.xxhash64(*columns), F.lit(span))
+    return df.filter(drawn < limit).orderBy(drawn, *columns).limit(rows).collect()
