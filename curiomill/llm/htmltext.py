@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from curiomill.llm.tables import bounded_sample
+
 TAG_BINS, WORD_BINS, MEASURES = 160, 32, 8
 INPUTS = TAG_BINS + WORD_BINS + MEASURES
 HIDDEN = 20
@@ -357,7 +359,7 @@ def written(count: int, seed: int = 5) -> list[tuple[str, list[int]]]:
     return out
 
 
-def fit(pages: DataFrame, html_col: str = "html", key: str = "url") -> Net:
+def fit(pages: DataFrame, html_col: str = "html") -> Net:
     """Train from at most TAUGHT_PAGES of the given pages and WRITTEN_PAGES written ones."""
     examples = []
     for page, labels in written(WRITTEN_PAGES):
@@ -365,7 +367,8 @@ def fit(pages: DataFrame, html_col: str = "html", key: str = "url") -> Net:
         if len(blocks) != len(labels):
             raise AssertionError("a written page has other blocks than labels")
         examples.append((vectors(blocks), np.array(labels, float)))
-    sample = pages.filter(F.col(html_col).isNotNull() & (F.length(html_col) < 20_000)).orderBy(F.xxhash64(html_col)).select(html_col).limit(TAUGHT_PAGES).collect()
+    short = pages.filter(F.col(html_col).isNotNull() & (F.length(html_col) < 20_000)).select(html_col)
+    sample = bounded_sample(short, [html_col], TAUGHT_PAGES)
     for row in sample:
         blocks = leaves(row[0])
         if (labels := taught(blocks)) is not None:
