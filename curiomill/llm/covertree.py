@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
 from curiomill.llm.components import components
-from curiomill.llm.tables import kept
+from curiomill.llm.tables import bounded_sample, kept
 
 PIVOT_SAMPLE = 4096  # vectors from which pivots are chosen
 PIVOTS = 64
@@ -221,7 +221,7 @@ def _cross(frame: pd.DataFrame, kind: str, cosine: float) -> pd.DataFrame:
 
 def _pivots(vectors: DataFrame) -> dict[int, np.ndarray]:
     """For each dimension, vectors far from each other out of a bounded sample, farthest first."""
-    sample = vectors.orderBy(F.xxhash64("id"), "id").limit(PIVOT_SAMPLE).collect()
+    sample = bounded_sample(vectors, ["id"], PIVOT_SAMPLE)
     dims = {r.dim for r in vectors.select(F.size("v").alias("dim")).distinct().collect()}
     out = {}
     for dim in dims:
