@@ -19,12 +19,14 @@ from curiomill.llm.tables import kept
 
 OPEN, CLOSE = "\ue000", "\ue001"  # mark candidates; in a text they count as other characters
 NAMES = r"(?i:token|secret|passw(?:or)?d|pwd|api[_-]?key|access[_-]?key|credentials?|auth)"
+# the name may be part of a longer identifier; what follows it is read up to the next name, so that no run is read twice
+LEAD = NAMES + r"(?:(?!" + NAMES + r")[A-Za-z0-9_.-])*+[\"']?\s*+[:=]\s*+[\"']?"
 JWT = r"eyJ[A-Za-z0-9_-]{5,}+(?:\.[A-Za-z0-9_-]*+){0,3}\.[A-Za-z0-9_-]++"
 CANDIDATE = "|".join([  # what leads to a value is in groups 1 and 3, the value in one of the others; possessive, so values are whole and long runs are read once
-    r"(\b" + NAMES + r"[\"']?\s?[:=]\s?[\"']?)(?!-----BEGIN )([^\s\"'<>]{6,}+)",
+    r"((?=[acpstACPST])" + LEAD + r")(?!-----BEGIN )([^\s\"'<>]{6,}+)",
     r"(://)([^\s/:@]++:[^\s/:@]{3,}+)(?=@)",
     r"(-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----[^-]*+(?:-(?!----)[^-]*+)*+-----END [A-Z ]{0,30}PRIVATE KEY-----)",  # header lines have single dashes
-    r"(?<![A-Za-z0-9+/_-])(" + JWT + r"|(?=[A-Za-z_+/-]*+[0-9])[A-Za-z0-9+/_-]{20,}+={0,2}+)",
+    r"(?<![A-Za-z0-9+/_-])(" + JWT + r"|(?=[A-Za-z_+/-]*+[0-9])(?=[A-Za-z0-9+/_-]{20})(?![A-Za-z0-9+/_-]*?" + LEAD + r"[^\s\"'<>]{6})[A-Za-z0-9+/_-]{20,}+={0,2}+)",
 ])
 MARKED = f"$1$3{OPEN}$2$4$5$6{CLOSE}"
 AROUND = 60  # characters on either side that count as neighbours
@@ -64,7 +66,7 @@ def findings(texts: DataFrame) -> DataFrame:
     return nth.select(
         "id", "version", F.expr("cast((at + 1) / 2 as int)").alias("nth"),
         F.aggregate(F.slice("sizes", 1, F.col("at")), F.lit(0), lambda a, x: a + x).cast("long").alias("start"),
-        F.get("parts", F.col("at")).alias("value"), F.right(F.get("parts", F.col("at") - 1), F.lit(AROUND)).alias("before"),
+        F.get("parts", F.col("at")).alias("value"), F.right(F.regexp_replace(F.get("parts", F.col("at") - 1), r"\s{2,}", " "), F.lit(AROUND)).alias("before"),
         F.left(F.get("parts", F.col("at") + 1), F.lit(AROUND)).alias("after"),
     )
 
@@ -89,7 +91,7 @@ def described(found: DataFrame) -> DataFrame:
         "file_like": _flag(v, r"\.[a-z]{2,4}$|^[A-Za-z]+(/[A-Za-z0-9_.-]+){2,}$"),
         "known_format": _flag(v, r"(?i)AKIA[0-9A-Z]{16}|gh[pousr]_[0-9A-Za-z]{20,}|xox[abprs]-|eyJ[A-Za-z0-9_-]{10,}|sk_live_|AIza[0-9A-Za-z_-]{30,}"),
         "login": (_flag(b, r"://$") * _flag(a, "^@")), "key_block": _flag(v, "^-----BEGIN"),
-        "named": _flag(b, NAMES + r"[\"']?\s?[:=]\s?[\"']?$"), "assigned": _flag(b, r"[:=]\s?[\"']?$"), "quoted": (_flag(b, r"[\"']$") * _flag(a, r"^[\"']")),
+        "named": _flag(b, LEAD + "$"), "assigned": _flag(b, r"[:=]\s?[\"']?$"), "quoted": (_flag(b, r"[\"']$") * _flag(a, r"^[\"']")),
         "telling": _flag(b, NAMES), "harmless": _flag(b, r"(?i)\b(commit|sha1|sha256|md5|checksum|etag|hash|uuid|revision|digest|id|version|build|base64)\b[^A-Za-z0-9]{0,4}$"),
         "placeholder": _flag(v, r"(?i)x{5,}|\*{3,}|your|example|change.?me|insert|dummy|<[^>]+>|\$\{|\{\{|^(.)\1+$|123456|abcdef|null|none|true|false"),
         "address": _flag(v, r"(?i)@|^www\.|\.(com|org|net)\b") , "plain_after": _flag(a, r"^[\"']?[\s,;.!#*%&$]|^[\"']?$"),
@@ -111,13 +113,15 @@ def labelled_findings(spark: SparkSession, rows: int = TRAINING_ROWS) -> DataFra
 
     word = one_of([F.lit(w) for w in WORDS[::3]], 11)
     other = one_of([F.lit(w) for w in WORDS[1::3]], 12)
-    telling = one_of(["token", "secret", "password", "api_key", "access-key", "auth", "API_KEY", "TOKEN", "pwd"], 13)
-    join = one_of([' = "', ": '", "=", '="', ": ", ' = '], 14)
+    telling = one_of(["token", "secret", "password", "api_key", "access-key", "auth", "API_KEY", "TOKEN", "pwd", "DB_PASSWORD", "client_secret", "AWS_SECRET_ACCESS_KEY", "GITHUB_TOKEN", "auth.token.v2", "userPassword", "my-api-key-1"], 13)
+    join = one_of([' = "', ": '", "=", '="', ": ", ' = ', "   =  ", ' :  "'], 14)
     close = F.when(join.contains('"'), '"').when(join.contains("'"), "'").otherwise("")
+    spelt = F.initcap(F.translate(F.concat(word, other), "oaeis", "04315"))  # a password made from words
+    chosen = F.concat(spelt, one_of(["!", "@", "#", "-", "$", "!x"], 29), F.substring(mixed, 1, 2), one_of(["", "!", "?"], 30))
     secret = one_of([
         hexa, hexa, F.upper(hexa), F.substring(hexa, 1, 32), mixed, F.substring(mixed, 1, 24), wide, F.concat(F.lit("AKIA"), F.upper(F.substring(mixed, 1, 16))),
         F.concat(F.lit("ghp_"), F.substring(mixed, 1, 36)), F.concat(F.lit("sk_live_"), F.substring(mixed, 3, 24)), F.concat(F.substring(mixed, 1, 9), F.lit("!7")), F.concat(F.lit("eyJ"), wide, F.lit("."), mixed), long,
-        F.lower(F.hex(long)),
+        F.lower(F.hex(long)), chosen, chosen,
     ], 15)
     harmless = one_of([
         F.concat(F.lit("YOUR_"), F.upper(word), F.lit("_HERE")), F.lit("xxxxxxxxxxxxxxxxxxxx1"), F.concat(word, F.lit("-"), other, F.lit("-example")), F.concat(F.lit("<"), word, F.lit(">")),
@@ -125,6 +129,9 @@ def labelled_findings(spark: SparkSession, rows: int = TRAINING_ROWS) -> DataFra
         F.concat(F.initcap(word), F.initcap(other), F.initcap(word)), F.concat(other, word, other), F.repeat(F.lit("x"), 300),
         F.repeat(F.concat(word, F.lit("_"), other, F.lit("_")), 40),
     ], 16)
+    syllables = ["mon", "tar", "vel", "go", "ri", "sen", "ber", "la", "ter", "schu", "kin", "dal", "wes", "phi", "no", "ry"]
+    unknown = F.concat(one_of(syllables, 34), one_of(syllables, 35), one_of([*syllables, ""], 36), one_of(["son", "ly", "y", "er", "ing", "a", "ton"], 37))  # reads as a word and is in no list
+    prose = F.concat(one_of(["author", "Authors", "authority", "tokenizer", "secretary", "Authentication", "authorization"], 31), one_of([": ", " = ", ":  ", ":\n"], 32), one_of([F.concat(word, other), F.concat(F.initcap(word), other, F.lit(",")), F.concat(F.initcap(word), F.lit("-"), F.initcap(other)), F.concat(word, F.lit("_"), other), unknown, F.initcap(unknown), F.concat(F.initcap(unknown), F.lit(","))], 33))
     named_plain = F.concat(one_of(["commit ", "sha1: ", "md5 ", "checksum=", "etag: ", "revision ", "build id ", "digest sha256:"], 17), one_of([hexa, F.substring(hexa, 1, 32), F.sha2(i.cast("string"), 256)], 18))
     image = F.concat(F.lit("data:image/png;base64,"), long)
     loose_plain = one_of([
@@ -140,7 +147,7 @@ def labelled_findings(spark: SparkSession, rows: int = TRAINING_ROWS) -> DataFra
     loose_secret = one_of([F.concat(F.lit("AKIA"), F.upper(F.substring(mixed, 1, 16)), F.lit("")), F.concat(F.lit("ghp_"), F.substring(mixed, 1, 36)), wide, F.concat(F.lit("sk_live_"), F.substring(mixed, 3, 24)), long, F.concat(F.lit("eyJhbGciOiJIUzI1NiJ9.eyJ"), one_of([F.translate(wide, "+/=", "xYz"), F.translate(long, "+/", "-_")], 28), F.lit("."), mixed)], 21)
     kind = F.pmod(F.xxhash64("id", F.lit(22)), F.lit(16))
     good = F.when(kind < 12, F.concat(telling, join, secret, close)).when(kind < 13, login).when(kind < 14, block).otherwise(loose_secret)
-    bad = F.when(kind < 6, F.concat(telling, join, harmless, close)).when(kind < 10, named_plain).when(kind < 11, plain_login).otherwise(loose_plain)
+    bad = F.when(kind < 5, F.concat(telling, join, harmless, close)).when(kind < 7, prose).when(kind < 10, named_plain).when(kind < 11, plain_login).otherwise(loose_plain)
     around = F.concat(other, F.lit(" "), word, F.lit(" "))
     tail = one_of([" and", ".", "\n", ",", "", " ***", "!!", "###"], 23)
     return spark.range(rows).select("id", F.explode(F.array(drawn)).alias("long")).select(

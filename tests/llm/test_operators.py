@@ -338,6 +338,23 @@ def test_secrets_are_found_whole(spark):
         assert clean[k] == texts[k].replace(value, secrets.REDACTED), (k, clean[k][:200])
 
 
+def test_secrets_under_longer_names(spark):
+    password, key = "Tr0ub4dor!x", "wJalrXUtnFEMI/K7MDENG/bPxRfiCYzQ81kLmNop"
+    leads = [
+        ("DB_PASSWORD=", password, ""), ('client_secret="', "p@ss-W0rd!", '"'), ("AWS_SECRET_ACCESS_KEY=", key, ""), ("GITHUB_TOKEN=", "ghp_16C7e42F292c6912E7710c838347Ae178B4a", ""),
+        ("password   =    ", password, ""), ("password" + " " * 80 + '= "', password, '"'), ("app.auth.token-v2: ", key, ""), ("MY_2ND_SERVICE_CLIENT_SECRET = ", password, ""), ('"dbPassword" : "', password, '"'),
+        ("a/path/of_2/DB_PASSWORD=", password, ""),
+    ]
+    texts = [f"set {before}{value}{after} here" for before, value, after in leads] + ["author: someone else", "the secretary: Montgomery spoke"]
+    docs = docs_of(spark, list(enumerate(texts)))
+    made = {(r.doc_id, r.start, r.size): r.is_secret for r in secrets.scan(docs).collect()}
+    want = {(k, 4 + len(before), len(value)): True for k, (before, value, _) in enumerate(leads)}
+    assert {k: v for k, v in made.items() if k[0] < len(leads)} == want
+    clean = {r.doc_id: r.text for r in secrets.redacted(docs).collect()}
+    for k, text in enumerate(texts):
+        assert clean[k] == (text.replace(leads[k][1], secrets.REDACTED) if k < len(leads) else text)
+
+
 def test_quality(spark, sf):
     folder = sf.replace("0.001", "0.01")
     docs, labels = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet")
