@@ -6,9 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from curiomill.llm.bpe import digests
+from curiomill.llm.conversations import repair_damaged
 from curiomill.llm.covertree import cosine_links
 from curiomill.llm.decontaminate import ORACLE as CONTAINED_SQL
 from curiomill.llm.decontaminate import contained_items
+from curiomill.llm.divergence import ORACLE as DIVERGENCE_SQL
+from curiomill.llm.divergence import audit
 from curiomill.llm.htmltext import extract_text
 from curiomill.llm.langid import identify
 from curiomill.llm.minhash import near_duplicates
@@ -60,12 +64,27 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op11_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit(table(spark, sf_dir, "documents"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_damaged(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_best_fit_packing, op2_substring_dedup, op3_decontamination, op4_language_id,
         op5_html_extraction, op6_secret_scan, op7_quality_classifier, op8_sharding,
         op9_embedding_near_dedup, op10_minhash_near_dedup,
+        op11_bpe_round_trip, op12_source_divergence, op13_conversation_repair,
     )
 }
-ORACLES: dict[str, str] = {"op3_decontamination": CONTAINED_SQL}
+ORACLES: dict[str, str] = {"op3_decontamination": CONTAINED_SQL, "op12_source_divergence": DIVERGENCE_SQL}
