@@ -10,9 +10,9 @@ Texts are cut into words once per document; words seen before are looked up in a
 
 from __future__ import annotations
 
-import functools
 import heapq
 import json
+import re
 import unicodedata
 from collections.abc import Iterable, Iterator
 from itertools import chain, islice
@@ -40,14 +40,12 @@ def byte_letters() -> list[str]:
     return [letters[b] for b in range(256)]
 
 
-@functools.cache
-def unsettled() -> regex.Pattern:
-    """Characters without a category in Python's tables: the library's own tables may know them."""
-    from itertools import groupby
+OLD = re.compile("[^\\x00-\\u0377]")  # these characters have been settled since the first versions of all tables
 
-    free = (c for c in range(0x110000) if unicodedata.category(chr(c)) == "Cn")
-    runs = [[c for _, c in g] for _, g in groupby(enumerate(free), lambda x: x[1] - x[0])]
-    return regex.compile("[" + "".join(f"\\U{r[0]:08x}-\\U{r[-1]:08x}" for r in runs) + "]")
+
+def unsettled(text: str) -> bool:
+    """Whether a text has characters without a category in Python's tables: the library's own tables may know them."""
+    return OLD.search(text) is not None and any(unicodedata.category(c) == "Cn" for c in set(text))
 
 
 class Vocabulary:
@@ -219,7 +217,7 @@ class Encoder:
 
     def _words(self, text: str) -> Iterable[str]:
         """Words of a text without special tokens."""
-        if not text.isascii() and unsettled().search(text):
+        if not text.isascii() and unsettled(text):
             return self._library_words(text)
         text = text if text.isascii() else unicodedata.normalize("NFC", text).replace("Σ", "σ")  # sigma is never final
         text = text.lower()
