@@ -25,8 +25,9 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-KNOWN_WORDS = 400_000  # words a task remembers; beyond, the table starts anew
-BLOCK_WORDS = 1 << 18  # words looked up at a time
+KNOWN_WORDS = 200_000  # words a task remembers; beyond, the table starts anew
+BLOCK_WORDS = 1 << 16  # words looked up at a time
+HELD_TOKENS = 1 << 19  # tokens of a batch of rows; a longer text is a batch of its own
 LONG_WORD = 256  # bytes; longer words are merged rank by rank
 NONE = np.int64(1) << 40  # rank of a pair that never merges
 
@@ -311,22 +312,35 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") ->
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(v.value)
         for batch in batches:
-            found = list(encoder.encode(_rows(batch, text)))
-            for a, b in _spans([len(x) for x in found]):
-                own = found[a:b]
+            at = 0
+            for own in _grouped(encoder.encode(_rows(batch, text))):
                 offsets = np.concatenate([[0], np.cumsum([len(x) for x in own])]).astype(np.int32)
-                lists = pa.ListArray.from_arrays(offsets, np.concatenate(own) if own else np.zeros(0, np.int32))
-                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], lists] if (a, b) == (0, batch.num_rows) else [*(c.slice(a, b - a) for c in batch.columns[:-1]), lists], names=[*others, ids])
+                lists = pa.ListArray.from_arrays(offsets, np.concatenate(own))
+                yield pa.RecordBatch.from_arrays([*(c.slice(at, len(own)) for c in batch.columns[:-1]), lists], names=[*others, ids])
+                at += len(own)
 
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in given.schema.fields[:-1]), f"`{ids}` array<int>"])
     return given.mapInArrow(work, schema)
 
 
-def _spans(sizes: list[int], most: int = 1 << 24) -> Iterator[tuple[int, int]]:
-    """Row ranges with at most ``most`` values in all, or of one row."""
+def _grouped(found: Iterator[np.ndarray]) -> Iterator[list[np.ndarray]]:
+    """Neighbours with HELD_TOKENS values in all, or a little more."""
+    own, held = [], 0
+    for ids in found:
+        own.append(ids)
+        held += len(ids)
+        if held >= HELD_TOKENS:
+            yield own
+            own, held = [], 0
+    if own:
+        yield own
+
+
+def _spans(sizes: list[int]) -> Iterator[tuple[int, int]]:
+    """Row ranges with at most HELD_TOKENS values in all, or of one row."""
     a = held = 0
     for i, n in enumerate(sizes):
-        if held + n > most and i > a:
+        if held + n > HELD_TOKENS and i > a:
             yield a, i
             a, held = i, 0
         held += n
