@@ -10,12 +10,14 @@ from curiomill.catalog.derive import table
 from curiomill.catalog.registry import query
 from curiomill.operators.breaker import breaker_status
 from curiomill.operators.chunks import mark_halted
-from curiomill.session import new_folder
+from curiomill.session import cut_lineage, new_folder
 from curiomill.sources.store import stored_products
 from curiomill.streaming import flow
-from curiomill.streaming.breaker import stream_breaker
+from curiomill.streaming.breaker import as_events, closing_row, requests_and_results, run_breaker, stream_breaker
 
 _LIMIT, _WAIT = 3, 20_000  # failures in a row, seconds blocked: in the derived log failures are rarer than on a bad site
+_DELAY = 86_400  # seconds that a row of the log may come late
+FILE_ROWS = 100_000
 
 
 def _stream(spark, df: DataFrame, name: str, files: int = 4) -> DataFrame:
@@ -31,9 +33,27 @@ def _results(spark, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _decisions(spark, sf) -> DataFrame:
+def _in_time(spark, events: DataFrame, name: str, files_a_trigger: int) -> DataFrame:
+    """Events as a stream of files that arrive roughly in order: the rows of a day are mixed, and a row that only moves
+    the watermark comes last. The log is cut by time into files of at most about FILE_ROWS rows, 8 at least."""
+    path = new_folder(spark, name)
+    roughly = F.unix_seconds("ts") + F.pmod(F.xxhash64("attempt_id", "kind"), F.lit(_DELAY - 3600))
+    files = max(8, -(-events.count() // FILE_ROWS))
+    cut = cut_lineage(events.withColumn("rough", roughly).repartitionByRange(files, "rough").withColumn("part", F.spark_partition_id()), "log")
+    for part in range(files):  # one write each: files are read in order of their time
+        cut.filter(F.col("part") == part).drop("part", "rough").repartition(1).write.mode("append").parquet(path)
+    closing_row(events, _DELAY).select(*events.columns).write.mode("append").parquet(path)
+    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", files_a_trigger).parquet(path)
+
+
+def _decided(spark, events: DataFrame, name: str, files_a_trigger: int) -> DataFrame:
+    stream = stream_breaker(_in_time(spark, events, name, files_a_trigger), _LIMIT, _WAIT, _DELAY)
+    return run_breaker(stream, new_folder(spark, "decisions"), new_folder(spark, "checkpoint"))
+
+
+def _decisions(spark, sf, files_a_trigger: int) -> DataFrame:
     log = table(spark, sf, "attempts").select("attempt_id", "domain", "ts", "success")
-    return _results(spark, stream_breaker(_stream(spark, log, "attempts"), _LIMIT, _WAIT), "decisions")
+    return _decided(spark, as_events(log), "attempts", files_a_trigger)
 
 
 # the fold as a recursive query: one row per attempt, in order of each domain
@@ -49,7 +69,7 @@ fold AS (SELECT attempt_id, domain, us, rn, success, true AS allowed, CAST(CASE
 
 @query("T1_breaker", ("attempts",), f"{_BREAKER} SELECT attempt_id, allowed, failures AS failure_count, until AS blocked_until_us FROM fold")
 def t1(spark, sf):
-    made = _decisions(spark, sf)
+    made = _decisions(spark, sf, 2)
     return made.select("attempt_id", "allowed", "failure_count", F.unix_micros("blocked_until").alias("blocked_until_us"))
 
 
@@ -60,14 +80,36 @@ def t1(spark, sf):
 SELECT domain, coalesce(until > now, false) AS is_blocked, failures AS failure_count, CASE WHEN until > now THEN (until - now) / 1000000.0::DOUBLE END AS remaining_seconds FROM last, moment""",
 )
 def t2(spark, sf):
-    made = _decisions(spark, sf)
+    made = _decisions(spark, sf, 1)
     now = made.agg(F.max("ts")).first()[0]
     return breaker_status(made, now).select("domain", "is_blocked", "failure_count", "remaining_seconds")
 
 
 @query("T3_allowed_per_domain", ("attempts",), f"{_BREAKER} SELECT domain, count(*) FILTER (WHERE allowed) AS allowed, count(*) FILTER (WHERE NOT allowed) AS refused FROM fold GROUP BY domain")
 def t3(spark, sf):
-    return _decisions(spark, sf).groupBy("domain").agg(F.count_if("allowed").alias("allowed"), F.count_if(~F.col("allowed")).alias("refused"))
+    return _decisions(spark, sf, 7).groupBy("domain").agg(F.count_if("allowed").alias("allowed"), F.count_if(~F.col("allowed")).alias("refused"))
+
+
+# requests and results as rows of their own: a result comes some seconds after its request
+_RECORDED = f""", log AS (SELECT *, row_number() OVER (PARTITION BY domain ORDER BY us, kind, attempt_id) AS rn FROM (
+  SELECT attempt_id, domain, epoch_us(CAST(ts AS TIMESTAMP)) AS us, 1 AS kind, true AS success FROM attempts
+  UNION ALL SELECT attempt_id, domain, epoch_us(CAST(ts AS TIMESTAMP)) + attempt * 1700000000, 2, success FROM attempts)),
+fold AS (SELECT attempt_id, domain, us, kind, rn, true AS allowed, CAST(CASE WHEN kind = 1 OR success THEN 0 ELSE 1 END AS BIGINT) AS failures, CAST(NULL AS BIGINT) AS until FROM log WHERE rn = 1
+ UNION ALL
+ SELECT attempt_id, domain, us, kind, rn, allowed, CASE WHEN kind = 1 THEN started WHEN success THEN 0 ELSE started + 1 END,
+  CASE WHEN kind = 2 AND NOT success AND started + 1 >= {_LIMIT} THEN us + {_WAIT}000000 ELSE held END
+ FROM (SELECT l.*, NOT (l.kind = 1 AND coalesce(l.us < f.until, false)) AS allowed, CASE WHEN l.kind = 1 AND l.us >= f.until THEN 0 ELSE f.failures END AS started,
+   CASE WHEN l.kind = 1 AND l.us >= f.until THEN NULL ELSE f.until END AS held FROM fold f JOIN log l ON l.domain = f.domain AND l.rn = f.rn + 1))"""
+
+
+@query("T3_requests_and_results", ("attempts",), f"{_RECORDED} SELECT attempt_id, allowed, failures AS failure_count, until AS blocked_until_us FROM fold WHERE kind = 1")
+def t3_recorded(spark, sf):
+    """Decisions where results are recorded apart from the requests, some seconds later."""
+    log = table(spark, sf, "attempts")
+    later = F.timestamp_micros(F.unix_micros(F.col("ts").cast("timestamp")) + F.col("attempt") * 1_700_000_000)
+    events = requests_and_results(log, log.withColumn("ts", later))
+    made = _decided(spark, events, "requests", 3).filter(F.col("kind") == 1)
+    return made.select("attempt_id", "allowed", "failure_count", F.unix_micros("blocked_until").alias("blocked_until_us"))
 
 
 @query(

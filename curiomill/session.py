@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder that all executors can reach, named by the session. Only a session whose executors are threads of one
     process (tests) may make its own."""
@@ -37,3 +40,16 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
+
+
+@contextmanager
+def run_settings(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    """Session settings for what runs inside."""
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
