@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from curiomill.catalog import content as C
 from curiomill.catalog import sqlparts as Q
 from curiomill.catalog.derive import table
+from curiomill.catalog.outcomes import OUTCOMES
 from curiomill.catalog.records import CURRENCY_SITE
 from curiomill.catalog.registry import query
 from curiomill.functions import urls as U
@@ -43,16 +44,20 @@ def price_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return price_statistics(dedup_rows(valid, "pos", "url"), ["site"], "price")
 
 
-@query("F2_run_batch", ("product_pages",), "SELECT count(DISTINCT url) AS urls, true AS adds_up FROM product_pages")
+@query(
+    "F2_run_batch",
+    ("product_pages",),
+    f"{OUTCOMES} SELECT url, CASE WHEN skip_reason IS NOT NULL THEN 'skipped' WHEN failure_type IS NOT NULL THEN 'rejected' ELSE 'product' END AS part FROM ends",
+)
 def run_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The batch job end to end: every page ends as product, reject or skip, and repeated URLs as one of them."""
-    pages = table(spark, sf_dir, "product_pages")
-    out = run_batch(pages, new_folder(spark, "batch"))
-    ends = out.products.select(F.col("source_url").alias("url")).unionByName(out.rejects.select("url")).unionByName(out.skipped.select("url"))
-    return ends.agg(F.count_distinct("url").alias("urls"), (F.count("*") == F.count_distinct("url")).alias("adds_up"))
+    """The batch job end to end: every page ends as product, reject or skip."""
+    out = run_batch(table(spark, sf_dir, "product_pages"), new_folder(spark, "batch"))
+    made = out.products.select(F.col("source_url").alias("url"), F.lit("product").alias("part"))
+    made = made.unionByName(out.rejects.select("url", F.lit("rejected").alias("part")))
+    return made.unionByName(out.skipped.select("url", F.lit("skipped").alias("part")))
 
 
-@query("F3_batch_skips", ("product_pages",), None)
+@query("F3_batch_skips", ("product_pages",), f"{OUTCOMES} SELECT skip_reason, failure_type, count(*) AS pages FROM ends GROUP BY skip_reason, failure_type")
 def skips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages of the batch job by the reason for which they gave no product."""
     made = process_pages(table(spark, sf_dir, "product_pages"))

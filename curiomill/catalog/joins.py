@@ -9,6 +9,7 @@ from curiomill.catalog import sqlparts as Q
 from curiomill.catalog.derive import table
 from curiomill.catalog.records import X3_SQL, X11_SQL, x3, x11
 from curiomill.catalog.registry import query
+from curiomill.functions.text import words
 from curiomill.operators import dedup, links, matching, rules
 
 _LINE_URL = """concat(CASE l_suppkey % 6 WHEN 0 THEN 'https://www.novica.com' WHEN 1 THEN 'https://www.catawiki.com' WHEN 2 THEN 'https://www.bonhams.com'
@@ -78,7 +79,20 @@ def j7(spark, sf):
     return x3(spark, sf)
 
 
-@query("J8_lexicon_hits", (), None)
+# letters and digits beyond ASCII are one word letter, other characters beyond it a blank: RE2 knows ASCII word edges only
+_PLAIN = r"regexp_replace(regexp_replace(lower(text), '[^\x00-\x7F\pL\pN]', ' ', 'g'), '[^\x00-\x7F]', 'x', 'g')"
+_FIELD_HITS = " UNION ALL ".join(
+    f"SELECT key, {Q.quote(field)} AS field, unnest(regexp_extract_all(plain, {Q.quote(words(terms))}, 1)) AS term FROM plain" for field, terms in rules.LEXICON.items()
+)
+
+
+@query(
+    "J8_lexicon_hits",
+    (),
+    f"""WITH texts AS (SELECT doc_id AS key, text FROM documents UNION ALL SELECT -p_partkey, concat_ws(' ', p_name, 'gold ring, silver, diamond', p_type) FROM part),
+plain AS (SELECT key, {_PLAIN} AS plain FROM texts WHERE text IS NOT NULL), hits AS ({_FIELD_HITS})
+SELECT key, field, term, count(*) AS hits FROM hits GROUP BY key, field, term""",
+)
 def j8(spark, sf):
     """Lexicon terms in all documents and product texts."""
     texts = table(spark, sf, "documents").select(F.col("doc_id").alias("key"), "text").unionByName(

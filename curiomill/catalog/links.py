@@ -141,29 +141,29 @@ def l12(spark, sf):
     return found.filter(U.same_site(F.col("page_url"), F.col("url")))
 
 
-_CANON = r"CASE WHEN contains({u}, 'liveauctioneers.com/item/') THEN regexp_replace({u}, '(/item/[0-9]+)[^?/]*', '\1') ELSE {u} END"
-_TAG = "CASE WHEN coalesce(category, '') <> '' THEN {u} || CASE WHEN contains({u}, '?') THEN '&' ELSE '?' END || 'src_cat=' || category ELSE {u} END"
+CANON = r"CASE WHEN contains({u}, 'liveauctioneers.com/item/') THEN regexp_replace({u}, '(/item/[0-9]+)[^?/]*', '\1') ELSE {u} END"
+TAG = "CASE WHEN coalesce(category, '') <> '' THEN {u} || CASE WHEN contains({u}, '?') THEN '&' ELSE '?' END || 'src_cat=' || category ELSE {u} END"
 
 
 @query(
     "L13_canonical_item",
     ("product_pages",),
-    f"SELECT url, {_CANON.format(u='url')} AS canonical FROM product_pages",
+    f"SELECT url, {CANON.format(u='url')} AS canonical FROM product_pages",
 )
 def l13(spark, sf):
     return table(spark, sf, "product_pages").select("url", U.canonical_item(F.col("url")).alias("canonical"))
 
 
-@query("L14_tag_category", ("listing_pages",), f"SELECT url, {_TAG.format(u='url')} AS tagged FROM listing_pages")
+@query("L14_tag_category", ("listing_pages",), f"SELECT url, {TAG.format(u='url')} AS tagged FROM listing_pages")
 def l14(spark, sf):
     return table(spark, sf, "listing_pages").select(
         "url", U.tag_category(F.col("url"), F.col("category")).alias("tagged")
     )
 
 
-_QUEUE = f"""{_cascade_sql(K.FALLBACK_HREFS)},
-canon AS (SELECT page_url, pos, category, {_CANON.format(u='u')} AS u FROM (SELECT page_url, pos, category, {_HREF} AS u FROM chosen)),
-tagged AS (SELECT page_url, pos, {_TAG.format(u='u')} AS url FROM canon),
+QUEUE = f"""{_cascade_sql(K.FALLBACK_HREFS)},
+canon AS (SELECT page_url, pos, category, {CANON.format(u='u')} AS u FROM (SELECT page_url, pos, category, {_HREF} AS u FROM chosen)),
+tagged AS (SELECT page_url, pos, {TAG.format(u='u')} AS url FROM canon),
 once AS (SELECT url, page_url FROM (SELECT url, page_url, row_number() OVER (PARTITION BY url ORDER BY page_url, pos) AS rn FROM tagged) WHERE rn = 1)"""
 
 
@@ -174,7 +174,7 @@ def _queue(spark, sf):
     )
 
 
-@query("L15_queue_products", ("listing_pages",), f"{_QUEUE} SELECT url, page_url FROM once WHERE {Q.site('url')} = '' OR {Q.site('page_url')} = {Q.site('url')}")
+@query("L15_queue_products", ("listing_pages",), f"{QUEUE} SELECT url, page_url FROM once WHERE {Q.site('url')} = '' OR {Q.site('page_url')} = {Q.site('url')}")
 def l15(spark, sf):
     return links.queue_products(_queue(spark, sf)).select("url", "page_url")
 

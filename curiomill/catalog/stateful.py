@@ -6,10 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from curiomill import constants as K
+from curiomill.catalog import sqlparts as Q
 from curiomill.catalog.derive import table
+from curiomill.catalog.links import CANON, QUEUE, TAG
+from curiomill.catalog.outcomes import OUTCOMES
 from curiomill.catalog.registry import query
 from curiomill.operators.breaker import breaker_status
 from curiomill.operators.chunks import mark_halted
+from curiomill.plans.runs import Run, run_in_steps
 from curiomill.session import cut_lineage, new_folder
 from curiomill.sources.store import stored_products
 from curiomill.streaming import flow
@@ -36,14 +40,21 @@ def _results(spark, df: DataFrame, name: str) -> DataFrame:
 def _in_time(spark, events: DataFrame, name: str, files_a_trigger: int) -> DataFrame:
     """Events as a stream of files that arrive roughly in order: the rows of a day are mixed, and a row that only moves
     the watermark comes last. The log is cut by time into files of at most about FILE_ROWS rows, 8 at least."""
-    path = new_folder(spark, name)
     roughly = F.unix_seconds("ts") + F.pmod(F.xxhash64("attempt_id", "kind"), F.lit(_DELAY - 3600))
     files = max(8, -(-events.count() // FILE_ROWS))
-    cut = cut_lineage(events.withColumn("rough", roughly).repartitionByRange(files, "rough").withColumn("part", F.spark_partition_id()), "log")
+    return _one_after_another(spark, events.withColumn("rough", roughly), name, files, files_a_trigger, closing_row(events, _DELAY))
+
+
+def _one_after_another(spark, rows: DataFrame, name: str, files: int, files_a_trigger: int, closing: DataFrame | None = None) -> DataFrame:
+    """Rows as a stream of files that arrive in the order of the column ``rough``."""
+    path = new_folder(spark, name)
+    cut = cut_lineage(rows.repartitionByRange(files, "rough").withColumn("part", F.spark_partition_id()), "log")
+    plain = rows.drop("rough")
     for part in range(files):  # one write each: files are read in order of their time
-        cut.filter(F.col("part") == part).drop("part", "rough").repartition(1).write.mode("append").parquet(path)
-    closing_row(events, _DELAY).select(*events.columns).write.mode("append").parquet(path)
-    return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", files_a_trigger).parquet(path)
+        cut.filter(F.col("part") == part).select(*plain.columns).repartition(1).write.mode("append").parquet(path)
+    if closing is not None:
+        closing.select(*plain.columns).write.mode("append").parquet(path)
+    return spark.readStream.schema(plain.schema).option("maxFilesPerTrigger", files_a_trigger).parquet(path)
 
 
 def _decided(spark, events: DataFrame, name: str, files_a_trigger: int) -> DataFrame:
@@ -135,31 +146,68 @@ def _pages(spark, sf) -> DataFrame:
     return table(spark, sf, "product_pages")
 
 
-def _flow(spark, sf, target: int | None = None, again: bool = False) -> DataFrame:
-    store, marks = new_folder(spark, "store"), new_folder(spark, "checkpoint")
-    pages = _stream(spark, _pages(spark, sf).repartition(4), "pages", 2)
-    flow.run_flow(pages, store, marks, target)
-    if again:  # a restart from the checkpoint finds nothing new
-        flow.run_flow(pages, store, marks, target)
-    return stored_products(spark, store)
+# the tests of the URL are made on the queued one, those of the page on the page
+_STORED = f"""{QUEUE}{OUTCOMES}, items AS (SELECT DISTINCT u AS item, {TAG.format(u='u')} AS url FROM canon)
+SELECT o.url AS source_url FROM once o JOIN items i ON i.url = o.url JOIN judged e ON {CANON.format(u='e.url')} = i.item
+WHERE ({Q.site('o.url')} = '' OR {Q.site('o.page_url')} = {Q.site('o.url')}) AND {Q.any_of('o.url', K.PRODUCT_HINTS)} AND NOT {Q.any_of('lower(o.url)', K.JUNK_PATHS)}
+ AND e.page_reason IS NULL AND e.fault IS NULL"""
+_BEGIN = 1_700_000_000
+
+
+def _fetched(pages: DataFrame, minutes) -> DataFrame:
+    """Pages fetched one a minute, some later; they come mixed within half an hour."""
+    second = F.lit(_BEGIN) + 60 * (F.col("pos") + minutes)
+    return pages.withColumn("fetched_at", F.timestamp_seconds(second)).withColumn("rough", second + F.pmod(F.xxhash64("url"), F.lit(1800)))
+
 
+def _listing_flow(spark, sf, listing_files: int, page_files: int, a_trigger: int) -> DataFrame:
+    store = new_folder(spark, "store")
+    listings = _fetched(table(spark, sf, "listing_pages"), F.lit(0))
+    pages = _fetched(_pages(spark, sf), F.col("pos") % 20)
+    flow.run_listing_flow(
+        _one_after_another(spark, listings, "listings", listing_files, a_trigger), _one_after_another(spark, pages, "pages", page_files, a_trigger),
+        store, new_folder(spark, "checkpoint"),
+    )
+    return stored_products(spark, store).select("source_url")
 
-@query("T10_product_flow", ("product_pages",), None)
+
+@query("T10_product_flow", ("product_pages", "listing_pages"), _STORED)
 def t10(spark, sf):
-    """Rows in the store after the flow, beside those of the batch job over the same pages."""
-    from curiomill.plans.batch import run_batch
+    """From listing pages to the store, in three triggers."""
+    return _listing_flow(spark, sf, 6, 6, 2)
+
 
-    batch = run_batch(_pages(spark, sf), new_folder(spark, "batch")).products
-    made = _flow(spark, sf).select("source_url", F.lit(True).alias("in_flow"))
-    return made.join(batch.select("source_url", F.lit(True).alias("in_batch")), "source_url", "full").groupBy("in_flow", "in_batch").agg(F.count("*").alias("urls"))
+@query("T10_product_flow_at_once", ("product_pages", "listing_pages"), _STORED)
+def t10_once(spark, sf):
+    """The same with all files in one trigger."""
+    return _listing_flow(spark, sf, 3, 2, 3)
 
 
-@query("T9_resume", ("product_pages",), None)
+@query(
+    "T9_resume",
+    ("product_pages",),
+    f"{OUTCOMES} SELECT coalesce(skip_reason, failure_type, 'stored') AS outcome, count(*) AS urls FROM ends GROUP BY outcome",
+)
 def t9(spark, sf):
-    """After a restart from the checkpoint: rows and distinct URLs of the store."""
-    return _flow(spark, sf, again=True).agg(F.count("*").alias("rows"), F.count_distinct("source_url").alias("urls"), F.max("id").alias("top"))
+    """A run in four steps that is stopped after the first, taken up by another one, and offered all pages again."""
+    pages = _pages(spark, sf)
+    every = -(-pages.count() // 4)
+    path = new_folder(spark, "run")
+    run_in_steps(Run(spark, path), pages, every, most_steps=1)
+    for _ in range(2):
+        run = Run(spark, path)
+        run_in_steps(run, pages, every)
+    return run.report()
 
 
-@query("T8_stop_at_target", (), "SELECT CAST(50 AS BIGINT) AS rows")
+@query(
+    "T8_stop_at_target",
+    ("product_pages",),
+    f"{OUTCOMES} SELECT url AS source_url FROM (SELECT url, row_number() OVER (ORDER BY pos) AS rn FROM ends WHERE skip_reason IS NULL AND failure_type IS NULL) WHERE rn <= 50",
+)
 def t8(spark, sf):
-    return _flow(spark, sf, target=50).agg(F.count("*").alias("rows"))
+    """Pages come in order; the flow ends when the store has 50 rows."""
+    pages = _pages(spark, sf)
+    store, marks = new_folder(spark, "store"), new_folder(spark, "checkpoint")
+    flow.run_flow(_one_after_another(spark, pages.withColumn("rough", F.col("pos")), "pages", 4, 1), store, marks, 50)
+    return stored_products(spark, store).select("source_url")

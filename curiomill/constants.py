@@ -189,6 +189,7 @@ RARITY_TERMS = [
 TARGET_ROWS = 10_000
 BREAKER_THRESHOLD = 5
 BREAKER_COOLDOWN_SECONDS = 300
+CHECKPOINT_ROWS = 100
 MIN_DELAY_SECONDS = 2
 MAX_DELAY_SECONDS = 7
 MAX_ATTEMPTS = 3

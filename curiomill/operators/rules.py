@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from curiomill import constants as K
 from curiomill.functions import urls as U
-from curiomill.functions.text import contains_any, words
+from curiomill.functions.text import contains_any
+from curiomill.operators.phrases import phrase_hits
 
 # lexicon terms by record field
 LEXICON: dict[str, list[str]] = {
@@ -46,19 +47,5 @@ def site_rules(urls: DataFrame, url: str = "url") -> DataFrame:
 
 
 def lexicon_hits(texts: DataFrame, key: str, text: str, lexicon: dict[str, list[str]] = LEXICON) -> DataFrame:
-    """(key, field, term, hits): lexicon terms per text, counted inside the text's own row."""
-    found = F.array(
-        *[
-            F.struct(
-                F.lit(field).alias("field"),
-                F.regexp_extract_all(F.lower(text), F.lit(words(terms)), F.lit(1)).alias("terms"),
-            )
-            for field, terms in lexicon.items()
-        ]
-    )
-    rows = texts.select(key, F.explode(found).alias("f")).select(key, "f.field", "f.terms")
-    return rows.select(
-        key, "field", F.explode(F.array_distinct("terms")).alias("term"), "terms"
-    ).select(
-        key, "field", "term", F.size(F.filter("terms", lambda t: t == F.col("term"))).cast("bigint").alias("hits")
-    )
+    """(key, field, term, hits): lexicon terms per text, all fields in one scan."""
+    return phrase_hits(texts, key, text, lexicon)

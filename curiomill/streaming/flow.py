@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from curiomill.functions import urls as U
 from curiomill.operators.extraction import Extractor
+from curiomill.operators.links import gate_products, product_links
 from curiomill.plans.batch import process_pages
 from curiomill.schemas import RECORD_FIELDS
 from curiomill.session import cut_lineage
@@ -62,6 +64,43 @@ def run_flow(
     return stored_products(pages.sparkSession, store_path).count()
 
 
+def queued_links(listings: DataFrame, delay: str) -> DataFrame:
+    """Product links of a stream of listing pages (url, html, category, product_selector, fetched_at): item, url,
+    queued_at.
+
+    ``item`` is the canonical link, ``url`` the same with its category; each url is queued once while its time is within
+    ``delay`` of the newest, links of other sites and links that are no products are dropped after that. The first
+    arrival of a url decides from which page it comes.
+    """
+    found = product_links(listings.withWatermark("fetched_at", delay), keep=("category", "fetched_at"))
+    item = U.canonical_item(F.col("url"))
+    named = found.select("page_url", "fetched_at", item.alias("item"), U.tag_category(item, F.col("category")).alias("url"))
+    once = named.dropDuplicatesWithinWatermark(["url"])
+    kept = gate_products(once.filter(U.same_site(F.col("url"), F.col("page_url"))))
+    return kept.select("item", "url", F.col("fetched_at").alias("queued_at"))
+
+
+def pages_of_links(queue: DataFrame, pages: DataFrame, delay: str, wait: str) -> DataFrame:
+    """Queued links with the page that was fetched for them within ``wait``: pos, url, html, status.
+
+    ``pages`` is a stream (pos, url, html, status, fetched_at). Links wait no longer than ``wait`` and ``delay``, pages
+    no longer than ``delay``: then the watermark takes them out of the state.
+    """
+    seen = pages.withWatermark("fetched_at", delay).select(
+        "pos", U.canonical_item(F.col("url")).alias("page_item"), "html", "status", F.col("fetched_at").alias("seen_at")
+    )
+    met = F.expr(f"item = page_item AND seen_at >= queued_at AND seen_at <= queued_at + INTERVAL {wait}")
+    return queue.join(seen, met).select("pos", "url", "html", "status")
+
+
+def run_listing_flow(
+    listings: DataFrame, pages: DataFrame, store_path: str, checkpoint: str, delay: str = "1 hour", wait: str = "2 hours",
+    target_rows: int | None = None, extractor: Extractor | None = None,
+) -> int:
+    """The whole flow: links of listing pages, the pages fetched for them, records, store. Returns the stored rows."""
+    return run_flow(pages_of_links(queued_links(listings, delay), pages, delay, wait), store_path, checkpoint, target_rows, extractor)
+
+
 def write_stream(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Append a stream to a Parquet folder until the available input is used up."""
     return (

@@ -58,3 +58,83 @@ def test_breaker_in_any_trigger(spark, files):
         own = sorted((t, i, bool(good)) for i, d, t, good in rows if d == domain)
         want |= {i: x for (_, i, _), x in zip(own, _plain([(t, good) for t, _, good in own], stateful._LIMIT, stateful._WAIT), strict=True)}
     assert len(made) == len(rows) and got == want and sum(not x[0] for x in got.values()) > 20
+
+
+# -- runs
+
+
+def test_run_is_taken_up_after_a_crash(spark, sf, tmp_path, monkeypatch):
+    """The second step fails after its folders were written, before its record."""
+    from curiomill.catalog.derive import table
+    from curiomill.plans.runs import Run, run_in_steps
+    from curiomill.sources.store import stored_products
+
+    pages = table(spark, sf, "product_pages").limit(60)
+    pages = pages.unionByName(pages.withColumn("pos", F.col("pos") + 1_000_000))  # every URL twice
+
+    def result(run):
+        rows = stored_products(spark, run.store).select("id", "source_url", "current_market_price").collect()
+        ends = run.outcomes().select("url", "skip_reason", "failure_type").collect()
+        return sorted(map(tuple, rows)), sorted(map(tuple, ends), key=repr)
+
+    whole = Run(spark, str(tmp_path / "whole"))
+    run_in_steps(whole, pages, 25)
+    want = result(whole)
+    assert whole.committed() == [0, 1, 2] and len(want[1]) == 60 and len(want[0]) > 20
+
+    path = str(tmp_path / "broken")
+    kept = Run.commit
+
+    def failing(self, step, n):
+        if step == 1:
+            raise RuntimeError("lost")
+        kept(self, step, n)
+
+    monkeypatch.setattr(Run, "commit", failing)
+    with pytest.raises(RuntimeError, match="lost"):
+        run_in_steps(Run(spark, path), pages, 25)
+    monkeypatch.setattr(Run, "commit", kept)
+    again = Run(spark, path)
+    assert again.committed() == [0] and again.outcomes().count() == 25
+    run_in_steps(again, pages, 25)
+    assert result(again) == want
+    run_in_steps(again, pages, 25)  # nothing is left to do
+    assert result(again) == want and again.committed() == [0, 1, 2]
+    with pytest.raises(RuntimeError, match="another run"):
+        again.commit(2, 1)
+
+    again.clear()
+    fresh = Run(spark, path)
+    assert fresh.committed() == [] and fresh.rows() == 0 and fresh.outcomes().count() == 0
+    run_in_steps(fresh, pages, 25, target_rows=5)
+    assert fresh.rows() == 5
+
+
+# -- phrases
+
+
+def test_phrases_are_those_of_a_pattern(spark):
+    import re
+
+    from curiomill.operators.phrases import PhraseIndex, phrase_hits
+
+    rng = random.Random(3)
+    parts = ["gold", "white gold", "18k", "18k white gold", "gold-plated", "é", "red", "d'or", "or", "$x", "x$"]
+    lexicon = {"a": parts[:6], "b": [*parts[4:], "Gold"], "none": []}
+    pieces = [*parts, " ", " ", " ", "-", "é", "_", ".", "GOLD", "s", "\n"]
+    texts = [(i, "".join(rng.choice(pieces) for _ in range(rng.randint(0, 25)))) for i in range(300)] + [(900, None), (901, ""), (902, "gold " * 50_000)]
+    want = {}
+    for i, text in texts:
+        for field, terms in lexicon.items():
+            words = sorted({t.lower() for t in terms}, key=lambda t: -len(t))
+            for hit in re.findall(r"\b(" + "|".join(map(re.escape, words)) + r")\b", (text or "").lower()) if words else []:
+                want[i, field, hit] = want.get((i, field, hit), 0) + 1
+    rows = spark.createDataFrame([(i, t, 1) for i, t in texts], "k long, text string, hits int")
+    made = phrase_hits(rows, "k", "text", lexicon).collect()
+    assert {(r.k, r.field, r.term): r.hits for r in made} == want and len(made) == len(want)
+
+    many = {"f": [f"term {i} of many" for i in range(100_000)]}
+    index = PhraseIndex(many)
+    assert index.hits("a term 77777 of many, Term 5 of many; term 5 of manys") == {(0, "term 77777 of many"): 1, (0, "term 5 of many"): 1}
+    with pytest.raises(ValueError):
+        phrase_hits(rows, "k", "text", {"f": ["x" * (1 << 26), "y"]})
