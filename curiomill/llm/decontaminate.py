@@ -87,10 +87,20 @@ def contained_items(
     return best.select(F.col("doc").alias(id_col), F.col("item").alias(item_id), F.col("x.n").alias("item_shingles"), F.col("x.found").alias("found"), F.col("x.containment").alias("containment"))
 
 
-def without_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``docs``, all columns, that hold no item; rows with a null id stay."""
-    leaks = kept(contained_items(docs, items, id_col, **options).select(id_col).distinct(), "leaks")
-    return docs.join(leaks, id_col, "left_anti").select(*docs.columns)
+def without_items(docs: DataFrame, items: DataFrame, text_col: str = "text", item_text: str = "text", **options) -> DataFrame:
+    """The rows of ``docs``, all columns, that hold no item.
+
+    Ids play no part: texts and items are told apart by the hash of their text, so rows and items without an id, and
+    rows that share one, are searched like all others. A null text holds nothing and stays.
+    """
+    def version(column: str) -> Column:
+        return F.unhex(F.sha2(F.col(column), 256))
+
+    texts = docs.select(version(text_col).alias("version_of_text"), F.col(text_col).alias("text"))
+    wanted = items.select(version(item_text).alias("version_of_item"), F.col(item_text).alias("text"))
+    found = contained_items(texts, wanted, "version_of_text", "text", "version_of_item", "text", **options)
+    leaks = kept(found.select("version_of_text").distinct(), "leaks")
+    return docs.join(leaks, F.unhex(F.sha2(docs[text_col], 256)) == leaks["version_of_text"], "left_anti")
 
 
 ORACLE = """
