@@ -8,6 +8,7 @@ All stages but the last return the columns of documents.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from curiomill.llm.decontaminate import without_items
 from curiomill.llm.minhash import near_duplicates
@@ -26,13 +27,17 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of each group of near-duplicates; rows without an id stay.
+    """Keep one document of each group of near-duplicates: that with the smallest id, ids before nulls.
 
-    Rows that share an id are one document, of which one row stays.
+    Rows are told apart by a number that is written with them, not by their ids: rows that share an id and hold
+    different texts are different documents, and rows without an id are compared like all others.
     """
-    first = near_duplicates(docs, shingle=SHINGLE, percent=SIMILAR).filter("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    named = docs.filter("doc_id IS NOT NULL").join(first.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.select(*docs.columns).union(docs.filter("doc_id IS NULL"))
+    number = next(c for c in (f"row_number_{i}" for i in range(len(docs.columns) + 1)) if c not in docs.columns)
+    rows = kept(docs.withColumn(number, F.monotonically_increasing_id()), "numbered")
+    groups = near_duplicates(rows.select(number, "text"), id_col=number, shingle=SHINGLE, percent=SIMILAR)
+    ids = groups.join(rows.select(number, "doc_id").hint("merge"), number)
+    first = ids.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", number)).alias("first"))
+    return rows.join(first.select(f"first.{number}").hint("merge"), number, "left_semi").select(*docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
