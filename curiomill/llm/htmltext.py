@@ -30,6 +30,7 @@ TAG_BINS, WORD_BINS, MEASURES = 160, 32, 8
 INPUTS = TAG_BINS + WORD_BINS + MEASURES
 HIDDEN = 20
 TAUGHT_PAGES = 150
+TAUGHT_CHARACTERS = 20_000  # given pages of fewer characters may be learned from; all pages are extracted
 WRITTEN_PAGES = 450
 EPOCHS = 14
 PAGES_AT_ONCE = 128
@@ -39,6 +40,7 @@ TOKEN = re.compile(
     re.S,
 )
 NAMED = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+TEXT_ONLY = {"script", "style", "textarea", "iframe"}  # without an end tag they reach to the end of the page
 RAW = {"script", "style", "noscript", "template", "textarea", "svg", "iframe", "object"}
 INLINE = {
     "a", "abbr", "b", "bdi", "bdo", "big", "br", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd", "mark", "q", "s",
@@ -74,22 +76,32 @@ def leaves(page: str) -> list[Leaf]:
         del stack[depth:]
 
     at, n, links = 0, len(page), 0
+    last = page.rfind(">") + 1  # no tag ends after this, so none is looked for
+    endless: set[str] = set()  # elements known to have no end tag in the rest of the page
     while at < n:
-        m = TOKEN.search(page, at)
+        m = TOKEN.search(page, at, last) if at < last else None
         if m is None:
-            held.append((page[at:], links > 0))
+            comment = page.find("<!--", at)
+            held.append((page[at : comment if comment >= 0 else n], links > 0))
             break
         if m.start() > at:
             held.append((page[at : m.start()], links > 0))
         at = m.end()
         name = m[2] or m[5]
         if not name:
+            if m[0].startswith("<!--") and not m[0].endswith("-->"):
+                at = n  # a comment without end
             continue
         name, closing, rest = name.lower(), m[1] or m[4], m[3] or m[6] or ""
         if name in RAW:
             if not closing and not rest.endswith("/"):
-                end = re.compile(rf"</{name}\b[^>]*>", re.I).search(page, at)
-                at = end.end() if end else n
+                end = None if name in endless else re.compile(rf"</{name}\b[^<>]*>", re.I).search(page, at)
+                if end is not None:
+                    at = end.end()
+                elif name in TEXT_ONLY:
+                    at = n
+                else:  # only the tag goes: what follows may be the article
+                    endless.add(name)
             continue
         if name == "a":
             links = max(0, links + (-1 if closing else 1))
@@ -367,7 +379,7 @@ def fit(pages: DataFrame, html_col: str = "html") -> Net:
         if len(blocks) != len(labels):
             raise AssertionError("a written page has other blocks than labels")
         examples.append((vectors(blocks), np.array(labels, float)))
-    short = pages.filter(F.col(html_col).isNotNull() & (F.length(html_col) < 20_000)).select(html_col)
+    short = pages.filter(F.col(html_col).isNotNull() & (F.length(html_col) < TAUGHT_CHARACTERS)).select(html_col)
     sample = bounded_sample(short, [html_col], TAUGHT_PAGES)
     for row in sample:
         blocks = leaves(row[0])

@@ -62,3 +62,34 @@ def test_null_rows_through_all_stages(spark, sf):
     for _, stage in pipeline.STAGES[:-1]:
         docs = spark.createDataFrame(stage(spark, docs, sf).collect(), own.schema)
     assert pipeline.packing(spark, docs, sf).count() > 0
+
+
+@pytest.mark.parametrize("name", ["svg", "object", "noscript", "template"])
+def test_elements_without_end_drop_nothing_else(name):
+    from curiomill.llm.htmltext import leaves
+
+    page = f"<body><p>One &amp; two.</p><{name} id=x><p>Three.</p><p>Four.</p><{name}>five"
+    assert [b.text for b in leaves(page)] == ["One & two.", "Three.", "Four.", "five"]
+    closed = f"<p>One</p><{name}><p>gone</p></{name}><p>Two</p>"
+    assert [b.text for b in leaves(closed)] == ["One", "Two"]
+
+
+def test_text_only_elements_and_comments_without_end():
+    from curiomill.llm.htmltext import leaves
+
+    for rest in ("<script>var x = '<p>no</p>'", "<style>p{}<p>no</p>", "<!-- <p>no</p>", "<!-- no"):
+        assert [b.text for b in leaves(f"<p>One</p>{rest}")] == ["One"]
+    assert [b.text for b in leaves("a < b <!-- x --> c > d <p")] == ["a < b c > d <p"]
+
+
+@pytest.mark.parametrize("piece", ['<p x="', "<a ", "<", "<!-- ", "<svg>", "<p>", '<p x="\'>', "</", "&amp;", "<object ", "<b"])
+def test_hostile_markup_takes_linear_time(piece):
+    import time
+
+    from curiomill.llm.htmltext import leaves
+
+    page = piece * (1_000_000 // len(piece))
+    began = time.process_time()
+    leaves(page)
+    leaves(page + ">")
+    assert time.process_time() - began < 20  # two pages of 1 MB; quadratic cost would be many minutes
