@@ -11,7 +11,6 @@ from curiomill.catalog.derive import GIVEN
 from tools.check import rows_of
 
 QUERIES = {name: q for name, q in load().items()}
-NO_SQL_AND_SLOW = {"T9_resume", "T10_product_flow"}
 
 
 @pytest.fixture(scope="module")
@@ -22,7 +21,7 @@ def duck(sf):
     return con
 
 
-@pytest.mark.parametrize("name", sorted(n for n in QUERIES if n not in NO_SQL_AND_SLOW))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, sf, name):
     made = QUERIES[name].run(spark, sf)
     got = made.collect()
@@ -36,13 +35,3 @@ def test_query(spark, duck, sf, name):
 
 def test_entry(spark):
     assert entry_module.entry(spark).count() > 0
-
-
-def test_resume_adds_nothing(spark, sf):
-    row = QUERIES["T9_resume"].run(spark, sf).first()
-    assert row["rows"] == row["urls"] == row["top"]
-
-
-def test_flow_equals_batch(spark, sf):
-    rows = QUERIES["T10_product_flow"].run(spark, sf).collect()
-    assert {(r["in_flow"], r["in_batch"]) for r in rows} == {(True, True)}
