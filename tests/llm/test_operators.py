@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import time
 import re
 
 import numpy as np
@@ -357,6 +358,40 @@ def test_secrets_under_longer_names(spark):
         assert clean[k] == (text.replace(leads[k][1], secrets.REDACTED) if k < len(leads) else text)
 
 
+def test_secrets_with_blanks_quotes_and_schemes(spark):
+    """Forms that the training texts do not write: found whole, no rest after redaction, prose under the same names stays."""
+    leads = [
+        ('password = "', "Xk29 fJq8 Lm31 Zt77", '"'), ("DB_PASS=", "Tr0ub4dor9!xQ", ""), ("Authorization: Bearer ", "9f8a7b6c5d4e3f2a1b", ""), ("private_key=", "Zx9!kQ27#mL0pR4t", ""),
+        ('token = "', "Ab9'cdQ>ef12Zx", '"'), ("passphrase: '", 'r7Kp "q2Vw 9xTz mB4s', "'"), ("postgres://", "svc:p@s:7Kq2xW9z@L4", "@db.internal/x"), ('"Authorization": "Basic ', "dXNlcjpwNHNzdzByZDk4N3h5eg==", '"'),
+        ('api_key="', 'aK29\\"fJq8Lm31Zt77', '"'), ("redis://", ":x7Kq29fJq8Lm31", "@cache:6379"),
+    ]
+    prose = [
+        "the passenger: Elizabeth Montgomery sat down", 'The key: "we went home early and slept all day."', "compass = northwards they went", 'a signature: "the old painter signed below the river"', "bearer of bad news: nobody listened",
+        "passage: something about mountains", "keyboard: mechanical", "see http://localhost:8080/index and mail me@example.org",
+    ]
+    texts = [f"set {before}{value}{after} here" for before, value, after in leads] + prose
+    docs = docs_of(spark, list(enumerate(texts)))
+    made = {(r.doc_id, r.start, r.size): r.is_secret for r in secrets.scan(docs).collect()}
+    want = {(k, 4 + len(before), len(value)): True for k, (before, value, _) in enumerate(leads)}
+    assert {k: v for k, v in made.items() if k[0] < len(leads)} == want
+    clean = {r.doc_id: r.text for r in secrets.redacted(docs).collect()}
+    for k, text in enumerate(texts):
+        assert clean[k] == (text.replace(leads[k][1], secrets.REDACTED) if k < len(leads) else text)
+
+
+def test_secrets_open_quotes_and_paths(spark):
+    key = "269b1cea0846965f2d3ecb5cdb87c0edc7a7a587"
+    texts = [f'token="never closed and then password = "{key}" here', "key: \"" * 20_000, f'token = "{key}" here', f'token = "{key}" here']
+    rows = [(k, t, [None, "", "tests/test_x.py", "app/.env"][k]) for k, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, path string")
+    started = time.time()
+    made = secrets.scan(docs, path_col="path").collect()
+    assert time.time() - started < 120  # long runs of names and quotes are not read again and again
+    found = {(r.doc_id, r.start, r.size) for r in made if r.is_secret}
+    assert {(0, texts[0].index(key), 40), (3, 9, 40)} <= found and not any(k == 1 for k, _, _ in found)
+    assert {(r.doc_id, r.start, r.size) for r in secrets.scan(docs).collect() if r.is_secret and r.doc_id > 1} == {(2, 9, 40), (3, 9, 40)}
+
+
 def test_quality(spark, sf):
     folder = sf.replace("0.001", "0.01")
     docs, labels = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet")
