@@ -2,8 +2,7 @@
 
 Rows with equal texts form a group that stays together. Groups have an order (by a hash of their text), and the shards
 are runs of this order: the smallest capacity is sought for which cutting greedily needs no more than the given number
-of shards, and the cuts are made there.
-
+of XX
 The order is far too long for the driver. It gets the sizes of ranges of the order, 2 ** 16 at first. Greedy cutting
 with ranges kept whole gives a capacity that surely suffices, cutting as if ranges could be divided anywhere gives one
 that surely is needed; only ranges in which a cut can fall between the two are fetched again in 2 ** 8 parts each,
@@ -88,22 +87,89 @@ def _fetch(groups: DataFrame, bits: int, shared: int = 0, within: list[int] | No
     return sorted(Piece(r.range << (KEY_BITS - bits), bits, int(r.size), int(r.largest), r.groups) for r in out.collect())
 
 
+def _finer(groups: DataFrame, pieces: list[Piece], ranges: list[int]) -> list[Piece]:
+    """The pieces with those at ``ranges`` fetched again in parts."""
+    made: list[Piece] = []
+    for own in sorted({pieces[i].bits for i in ranges}):
+        inside = [pieces[i].key >> (KEY_BITS - own) for i in ranges if pieces[i].bits == own]
+        made += _fetch(groups, min(own + MORE_BITS, KEY_BITS), own, inside)
+    gone = set(ranges)
+    return sorted([p for i, p in enumerate(pieces) if i not in gone] + made)
+
+
+def _large(groups: DataFrame, total: int, shards: int) -> list[int]:
+    """Keys, largest groups first, of the groups above an equal share of what these groups leave: fewer than ``shards``."""
+    large: list = []
+    while len(large) < shards:
+        rest = total - sum(r.size for r in large)
+        found = groups.filter(F.col("size") * (shards - len(large)) > rest).select("key", "size").collect()
+        if len(found) == len(large):
+            break
+        large = found
+    return [r.key for r in sorted(large, key=lambda r: (-r.size, r.key))]
+
+
+def _beside(pieces: list[Piece], large: set[int], capacity: int, shards: int) -> list[tuple[int, int, int]] | None:
+    """(from, to, shards) of the stretches of pieces around those at ``large``, which have a shard each.
+
+    The capacity of the stretches is the smallest that suffices for all of them together; None if it is above
+    ``capacity``. Shards left over go to the stretches whose shards hold most.
+    """
+    stretches, begin = [], 0
+    for at in [*sorted(large), len(pieces)]:
+        if at > begin:
+            stretches.append((begin, at, [p.size for p in pieces[begin:at]]))
+        begin = at + 1
+    left = shards - len(large)
+
+    def counts(enough: int) -> list[int] | None:
+        made = [_cuts_whole(sizes, enough, left) for _, _, sizes in stretches]
+        return [len(m) for m in made] if all(m is not None for m in made) and sum(len(m) for m in made) <= left else None
+
+    if counts(capacity) is None:
+        return None
+    low, high = 1, capacity
+    while low < high:
+        middle = (low + high) // 2
+        low, high = (low, middle) if counts(middle) is not None else (middle + 1, high)
+    given = counts(low)
+    totals = [sum(sizes) for _, _, sizes in stretches]
+    for _ in range(left - sum(given) if given else 0):
+        most = max(range(len(given)), key=lambda i: totals[i] / given[i])
+        given[most] += 1
+    return [(a, b, n) for (a, b, _), n in zip(stretches, given)]
+
+
 def _boundaries(groups: DataFrame, shards: int) -> list[int]:
     """First key of every shard but the first."""
+    if shards == 1:
+        return []
     pieces = _fetch(groups, FIRST_BITS)
     while True:
         total = sum(p.size for p in pieces)
-        needed = max([-(-total // shards), *(p.largest for p in pieces), 1])
+        largest = max([p.largest for p in pieces], default=0)
+        needed = max(-(-total // shards), largest, 1)
         enough = _least([p.size for p in pieces], needed, shards)
         ranges = _open(pieces, needed, enough, shards)
         if not ranges:
             break
-        finer: list[Piece] = []
-        for own in sorted({pieces[i].bits for i in ranges}):
-            inside = [pieces[i].key >> (KEY_BITS - own) for i in ranges if pieces[i].bits == own]
-            finer += _fetch(groups, min(own + MORE_BITS, KEY_BITS), own, inside)
-        gone = set(ranges)
-        pieces = sorted([p for i, p in enumerate(pieces) if i not in gone] + finer)
+        pieces = _finer(groups, pieces, ranges)
+    keys = _large(groups, total, shards) if largest * shards > total else []
+    while keys:
+        places = {max(i for i, p in enumerate(pieces) if p.key <= key) for key in keys}
+        mixed = sorted(i for i in places if pieces[i].groups > 1)
+        if mixed:
+            pieces = _finer(groups, pieces, mixed)
+            continue
+        stretches = _beside(pieces, places, enough, shards)
+        if stretches is not None:
+            firsts = [pieces[i].key for i in places]
+            for a, b, own in stretches:
+                inside = groups.filter(F.col("key") >= pieces[a].key)
+                inside = inside.filter(F.col("key") < pieces[b].key) if b < len(pieces) else inside
+                firsts += [pieces[a].key, *_boundaries(inside, own)]
+            return sorted(firsts)[1:]
+        keys.pop()  # with the smallest of them alone the shards would not suffice
     cuts = _cuts_whole([p.size for p in pieces], enough, shards)
     return [pieces[c].key for c in cuts[:-1]]
 
@@ -116,8 +182,8 @@ def shard_by_size(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     Slots count from 0 in each shard without gaps, in an order that follows from the rows alone.
 
     Null texts have size 8 and checksum 0 and form a group, apart from that of empty texts. Repeated rows get a slot
-    each. Null ids are put as other ids are. A group larger than an equal share makes the capacity its own size; later
-    shards may then stay empty. Two texts with the same 64-bit hash share a group; neither is lost. Other columns are
+    each. Null ids are put as other ids are. A group larger than an equal share has a shard of its own, and the rest
+    is spread over the other shards. Shards stay empty only where there are few groups. Two texts with the same 64-bit hash share a group; neither is lost. Other columns are
     ignored.
     """
     text = F.col(text_col)
