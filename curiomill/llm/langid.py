@@ -26,6 +26,7 @@ from curiomill.llm import words as W
 
 ORDER = 5
 SAMPLE_ROWS = 400
+SMALL = 50  # texts to learn from under which a language sets none apart
 FOLDS = 3
 HELD_OUT = 1
 FULL_EVIDENCE = 40  # characters from which a text's score no longer depends on its length
@@ -228,7 +229,12 @@ def fold(id_col: str) -> F.Column:
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_rows: int = SAMPLE_ROWS) -> Model:
-    """Models of all languages named in rows outside the held-out fold."""
+    """Models of all languages named in rows outside the held-out fold.
+
+    A fifth of a language's texts is set apart, to see which cross-entropies its texts have. A language with fewer than
+    SMALL texts to learn from is counted whole. Where fewer than 5 texts set apart are long enough, no text of the
+    language is rejected: its own counted texts would give too low a bound.
+    """
     usable = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & (fold(id_col) != HELD_OUT))
     sizes = {r.lang: r.n for r in usable.groupBy(F.col(lang_col).alias("lang")).agg(F.count("*").alias("n")).collect()}
     if not sizes:
@@ -236,7 +242,9 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     span = 1 << 31
     limits = F.create_map(*[F.lit(x) for lang, n in sorted(sizes.items()) for x in (lang, min(span, sample_rows * span // n))])
     drawn = F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(span))
-    sample = usable.filter(drawn < limits[F.col(lang_col)]).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), (drawn % 5 == 0).alias("apart"))
+    few = [lang for lang, n in sizes.items() if n < SMALL]
+    apart = (drawn % 5 == 0) & ~F.col(lang_col).isin(few)
+    sample = usable.filter(drawn < limits[F.col(lang_col)]).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), apart.alias("apart"))
     counted = sample.filter("NOT apart").select("lang", "text").mapInArrow(_count, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()
     frame = counted.to_pandas()
     langs, levels = [], []

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import hashlib
 import random
-import time
 import re
+import time
 
 import numpy as np
 import pytest
@@ -155,6 +155,23 @@ def test_shards_are_minimax(spark, texts):
     assert max(sum(r.size for r in own) for own in by.values()) == sum(r.size for r in made if r.doc_id is not None and r.doc_id >= 500)
 
 
+@pytest.mark.parametrize("many", [1, 2])
+def test_shards_beside_large_groups(spark, many):
+    """With one or two texts that hold a third of all bytes each, the other shards are near equal and none is empty."""
+    rng = random.Random(many)
+    small = [(k, f"{k} " + "w" * rng.randint(20, 200)) for k in range(1500)]
+    rest = sum(len(t) + 8 for _, t in small)
+    each = rest // 2 if many == 1 else rest
+    rows = small + [(10_000 * (h + 1) + k, f"copy {h} " + "x" * 192) for h in range(many) for k in range(each // 207)]
+    sizes: dict[int, int] = {}
+    for r in sharding.shard_by_size(docs_of(spark, rows)).collect():
+        sizes[r.shard] = sizes.get(r.shard, 0) + r.size
+    ordered = sorted(sizes.values())
+    assert sorted(sizes) == list(range(24)) and ordered[-many:] == [each // 207 * 207] * many
+    fair = rest / (24 - many)
+    assert 0.6 * fair < ordered[0] and ordered[-many - 1] < 1.6 * fair, ordered
+
+
 @pytest.mark.parametrize("seed", [0, 1, 2])
 def test_boundaries_match_a_scan(spark, seed):
     rng = random.Random(seed)
@@ -248,6 +265,14 @@ def test_languages(spark, sf):
     assert all(0 <= r.score <= 1 for r in rows.values())
 
 
+def test_small_languages_get_a_model(spark):
+    """Every language with a text to learn from is learned, however its few texts are drawn."""
+    own = {"aa": "gluk brimzo wiptu norgh ", "bb": "estalina moreva dolicante serafi ", "cc": "qxyv zzkrt pflmn hjkwq "}
+    rows = [(k, own[lang] * 20, lang) for n, lang in enumerate(own) for k in range(1000 * n, 1000 * n + (3, 6, 300)[n])]
+    made = langid.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    assert {r.doc_id: r.lang_pred for r in made} == {k: lang for k, _, lang in rows}
+
+
 def test_languages_without_anything_to_learn(spark):
     made = langid.identify(spark.createDataFrame([(1, "abc", None)], "doc_id long, text string, lang string")).collect()
     assert made[0].lang_pred == "und"
