@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curiomill.functions.urls import site
@@ -11,47 +11,35 @@ from curiomill.functions.urls import site
 def match_sources(urls: DataFrame, sources: DataFrame) -> DataFrame:
     """Add ``match_class`` (1 exact, 2 prefix, 3 site, null none) and ``source_pos`` to rows with a ``url``.
 
-    Equi-joins on the URL, its prefixes and its site, for any number of sources; URLs are made distinct first, and every
-    lookup side has one row per key. The first source by position decides; one without a position comes last.
+    One pass over the distinct URLs: each gives its keys (itself, its prefixes of the lengths that base URLs have, its
+    site), which meet one table of the sources' keys in one equi-join; that table has one row per key. The first source
+    by position decides; one without a position comes last. A null URL has no source.
     """
-    slim = sources.select("pos", "base_url")
-    return _by_lookups(urls, slim)
+    first = sources.groupBy("base_url").agg(F.min("pos").alias("pos"))
+    wanted = urls.select("url").distinct()
+    # the distinct lengths of base URLs, a scalar subquery: there are no more than the longest has characters
+    lengths = first.agg(F.array_sort(F.collect_set(F.length("base_url")))).scalar()
+    keyed = wanted.withColumn("lengths", lengths).select("url", F.explode(_url_keys(F.col("url"), F.col("lengths"))).alias("k")).select("url", "k.*")
+    known = _source_keys(first)
+    found = F.struct("match_class", F.col("pos").isNull().alias("last"), F.col("pos").alias("source_pos"))
+    best = keyed.join(known, ["match_class", "kind", "key"]).groupBy("url").agg(F.min(found).alias("best"))
+    return urls.join(best.select("url", "best.match_class", "best.source_pos"), "url", "left")
 
 
-def _prefix_rows(df: DataFrame, column: str, lengths: DataFrame | None) -> DataFrame:
-    """Rows of every proper prefix of the column; only of the given lengths where they are known."""
-    size = F.length(column)
-    if lengths is None:
-        cut = F.sequence(F.lit(1), size - 1)
-    else:
-        known = [r[0] for r in lengths.collect()]
-        cut = F.filter(F.array(*[F.lit(n) for n in known]), lambda n: n < size)
-    return df.filter(size > 1).withColumn("n", F.explode(cut)).withColumn("prefix", F.expr(f"left({column}, n)"))
+def _key(match_class: int, kind: str, key: Column) -> Column:
+    return F.struct(F.lit(match_class).cast("bigint").alias("match_class"), F.lit(kind).alias("kind"), key.alias("key"))
 
 
-def _by_lookups(urls: DataFrame, sources: DataFrame) -> DataFrame:
-    wanted = urls.select("url").distinct()
-    first = sources.groupBy("base_url").agg(F.min("pos").alias("pos"))
+def _url_keys(url: Column, lengths: Column) -> Column:
+    """A URL is looked up as itself, as the beginning of a base URL, by its own beginnings, and by its site."""
+    beginnings = F.transform(F.filter(lengths, lambda n: n < F.length(url)), lambda n: _key(2, "starts with it", F.left(url, n)))
+    return F.concat(F.array(_key(1, "equal", url), _key(2, "begins it", url), _key(3, "site", site(url))), beginnings)
+
 
-    def hits(joined: DataFrame, rank: int) -> DataFrame:
-        return joined.select("url", F.struct(F.lit(rank).alias("match_class"), F.col("pos").isNull().alias("last"), F.col("pos").alias("source_pos")).alias("m"))
-
-    exact = hits(wanted.join(first, wanted["url"] == first["base_url"]), 1)
-    # lengths of base URLs: few distinct numbers, bounded by the longest URL
-    lengths = first.select(F.length("base_url").alias("n")).distinct()
-    longer = _prefix_rows(wanted, "url", lengths).join(first, F.col("prefix") == F.col("base_url"))
-    shorter_keys = _prefix_rows(first, "base_url", None).groupBy("prefix").agg(F.min("pos").alias("pos"))
-    shorter = wanted.join(shorter_keys, wanted["url"] == shorter_keys["prefix"])
-    by_site = first.groupBy(site(F.col("base_url")).alias("site")).agg(F.min("pos").alias("pos"))
-    same = wanted.withColumn("site", site(F.col("url"))).join(by_site, "site")
-    best = (
-        exact.unionByName(hits(longer, 2)).unionByName(hits(shorter, 2)).unionByName(hits(same, 3))
-        .groupBy("url")
-        .agg(F.min("m").alias("best"))
-        .select(
-            "url",
-            F.col("best.match_class").cast("bigint").alias("match_class"),
-            F.col("best.source_pos").alias("source_pos"),
-        )
-    )
-    return urls.join(best, "url", "left")
+def _source_keys(first: DataFrame) -> DataFrame:
+    base = F.col("base_url")
+    cuts = F.when(F.length(base) > 1, F.transform(F.sequence(F.lit(1), F.length(base) - 1), lambda n: _key(2, "begins it", F.left(base, n))))
+    own = F.array(_key(1, "equal", base), _key(2, "starts with it", base), _key(3, "site", site(base)))
+    none = F.array().cast("array<struct<match_class:bigint,kind:string,key:string>>")
+    keys = first.select("pos", F.explode(F.concat(own, F.coalesce(cuts, none))).alias("k")).select("pos", "k.*")
+    return keys.groupBy("match_class", "kind", "key").agg(F.min("pos").alias("pos"))
