@@ -18,17 +18,18 @@ from curiomill.session import cut_lineage, new_folder
 from curiomill.sources.store import stored_products
 from curiomill.streaming import flow
 from curiomill.streaming.breaker import as_events, closing_row, requests_and_results, run_breaker, stream_breaker
+from curiomill.streaming.seen import seen_in_any_run
 
 _LIMIT, _WAIT = 3, 20_000  # failures in a row, seconds blocked: in the derived log failures are rarer than on a bad site
 _DELAY = 86_400  # seconds that a row of the log may come late
 FILE_ROWS = 100_000
 
 
-def _stream(spark, df: DataFrame, name: str, files: int = 4) -> DataFrame:
+def _stream(spark, df: DataFrame, name: str, files: int = 4, files_a_trigger: int | None = None) -> DataFrame:
     """The rows as a stream of several files."""
     path = new_folder(spark, name)
     df.repartition(files).write.parquet(path)
-    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files).parquet(path)
+    return spark.readStream.schema(df.schema).option("maxFilesPerTrigger", files_a_trigger or files).parquet(path)
 
 
 def _results(spark, df: DataFrame, name: str) -> DataFrame:
@@ -142,6 +143,17 @@ def t6(spark, sf):
     return _results(spark, flow.seen_once(urls), "seen")
 
 
+@query("T6_seen_across_runs", ("attempts",), "SELECT url, min(attempt_id % 2) + 1 AS run FROM attempts GROUP BY url")
+def t6_runs(spark, sf):
+    """Two runs over one folder, each in several batches: a URL belongs to the first run that meets it."""
+    attempts = table(spark, sf, "attempts").select("url", "attempt_id")
+    path = new_folder(spark, "seen")
+    for run in (1, 2):
+        urls = _stream(spark, attempts.filter(F.col("attempt_id") % 2 == run - 1).select("url"), f"urls-{run}", 4, 2)
+        seen = seen_in_any_run(urls, path, new_folder(spark, "checkpoint"), str(run))
+    return seen.urls().select("url", F.substring_index("batch", "-", 1).cast("long").alias("run"))
+
+
 def _pages(spark, sf) -> DataFrame:
     return table(spark, sf, "product_pages")
 

@@ -9,6 +9,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from curiomill.operators.breaker import ATTEMPT, OPEN, fold, fold_events
+from curiomill.operators.matching import match_sources
+from curiomill.streaming import seen as seen_module
+from curiomill.streaming.seen import SeenUrls
 
 
 def _plain(rows, threshold, cooldown):
@@ -138,3 +141,48 @@ def test_phrases_are_those_of_a_pattern(spark):
     assert index.hits("a term 77777 of many, Term 5 of many; term 5 of manys") == {(0, "term 77777 of many"): 1, (0, "term 5 of many"): 1}
     with pytest.raises(ValueError):
         phrase_hits(rows, "k", "text", {"f": ["x" * (1 << 26), "y"]})
+
+
+def _urls(spark, numbers):
+    return spark.createDataFrame([(None if k is None else f"https://s.org/{k}",) for k in numbers], "url string")
+
+
+def test_seen_urls_across_batches(spark, tmp_path):
+    """New URLs of each batch as with a set; a repeated batch gives the same rows, a batch without a record does not count."""
+    seen, known = SeenUrls(spark, str(tmp_path / "seen")), set()
+    batches = [[1, 2, 2, None], [2, 3], [], list(range(2, 900)), [None, 5, 1000, 1000]]
+    for k, numbers in enumerate(batches):
+        want = {f"https://s.org/{n}" for n in numbers if n is not None} - known
+        for _ in range(2 if k in (1, 4) else 1):
+            got = [r.url for r in seen.add(_urls(spark, numbers), f"a-{k}").collect()]
+            assert len(got) == len(set(got)) and set(got) == want, k
+        known |= want
+    # stopped before its record was written: another run does not see its URLs
+    seen.add(_urls(spark, [5000]), "b-0")
+    for record in (tmp_path / "seen" / "commits").glob("*b-0~*"):
+        record.unlink()
+    again = SeenUrls(spark, str(tmp_path / "seen"))
+    assert [r.url for r in again.add(_urls(spark, [5000, 1]), "c-0").collect()] == ["https://s.org/5000"]
+    rows = [r.url for r in again.urls().collect()]
+    assert len(rows) == len(set(rows)) and set(rows) == known | {"https://s.org/5000"}
+
+
+def test_seen_urls_with_more_words(spark, tmp_path, monkeypatch):
+    """Filters that fill up are made anew; afterwards all URLs are still known."""
+    monkeypatch.setattr(seen_module, "FIRST_LEVEL", 4)
+    seen = SeenUrls(spark, str(tmp_path / "seen"))
+    for k, (a, b) in enumerate([(0, 3), (3, 400), (0, 5000), (4000, 6000)]):
+        seen.add(_urls(spark, range(a, b)), f"a-{k}")
+    assert len({level for level, _ in seen._committed().values()}) > 1
+    assert seen.add(_urls(spark, range(0, 6100)), "b-0").count() == 100
+    assert seen.urls().count() == seen.urls().distinct().count() == 6100
+
+
+def test_match_sources_edge_rows(spark):
+    sources = spark.createDataFrame([(1, "https://www.a.com/x"), (2, "https://www.a.com/x/y"), (None, "https://b.org/"), (3, "https://b.org/q"), (4, None), (0, "https://www.a.com/x")], "pos long, base_url string")
+    urls = ["https://www.a.com/x", "https://www.a.com/x/y/z", "https://www.a.com/", "https://a.com/other", "https://b.org/zzz", "https://c.net/", "", None, None]
+    made = match_sources(spark.createDataFrame([(u, k) for k, u in enumerate(urls)], "url string, pos int"), sources).collect()
+    got = {r.pos: (r.match_class, r.source_pos) for r in made}
+    assert len(made) == len(urls)
+    assert [got[k] for k in (0, 1, 2, 3, 5, 7, 8)] == [(1, 0), (2, 0), (2, 0), (3, 0), (None, None), (None, None), (None, None)]
+    assert got[4] == (2, None)
