@@ -1,11 +1,16 @@
 """Operator 9: all vector pairs above a cosine, by dual traversal of cover trees.
 
 On unit vectors a cosine of at least c is a distance of at most sqrt(2 - 2 c). Vectors go to the nearest of a bounded
-number of pivots, and the vectors of a pivot are dealt into blocks of bounded size. Each block gets a cover tree: nested
-levels of centres whose radii halve from level to level, each node with the largest distance of what it covers. A block
-is traversed against itself, and pairs of blocks against each other, level by level: a pair of nodes whose centres are
-farther apart than their radii and the threshold is left out, one that lies within the threshold as a whole is counted
-without looking inside, all others are opened. Pairs of pivots too far apart are never made.
+number of pivots, their cell, and the vectors of a cell are dealt into blocks of bounded size. Each block gets a cover
+tree, once: nested levels of centres whose radii halve from level to level, each node with the largest distance of what it
+covers; levels that hardly group anything are left out. Pairs of trees are traversed level by level: a pair of nodes whose
+centres are farther apart than their radii and the threshold is left out, one that lies within the threshold as a whole
+is counted without looking inside, all others are opened.
+
+Blocks of different cells meet in loads, runs of blocks. A block sends a load only the vectors that can have a partner in
+one of its cells: those within the cell's ring around its pivot, widened by the threshold, and no farther than that from
+the plane half way between the pivots. Vectors spread evenly in many dimensions pass these bounds nearly all, and then
+all pairs of loads are made.
 
 A dense group therefore costs a few node pairs, not all pairs of its vectors. Links are reported as a count per vector
 and as edges between the components found within the blocks, at most one for each pair of them.
@@ -13,6 +18,7 @@ and as edges between the components found within the blocks, at most one for eac
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from functools import partial
 from typing import NamedTuple
@@ -28,10 +34,13 @@ from curiomill.llm.components import components
 from curiomill.llm.tables import bounded_sample, kept
 
 PIVOT_SAMPLE = 4096  # vectors from which pivots are chosen
-PIVOTS = 64
-BLOCK = 2048  # vectors of a block, about
-LEVELS = (1.0, 0.5, 0.25, 0.125)  # covering radii
-SLACK = 1e-9  # of distances; pairs nearer to the threshold are looked at one by one
+PIVOTS = (16, 512)  # fewest and most; between them one for each block of the table
+BLOCK = 2048  # vectors of a block, about, and fewer where they have many components
+BLOCK_VALUES = 1 << 19  # components of all vectors of a block
+LOAD = 4  # blocks of a load, about
+LOADS = 8  # fewest loads of a table with many blocks' worth of vectors
+LEVELS = (1.0, 0.5, 0.25, 0.125)  # covering radii below the root, whose radius is at most 2
+SLACK = 1e-7  # of distances, above the rounding of small ones; pairs nearer to the threshold are looked at one by one
 
 
 class Node(NamedTuple):
@@ -48,68 +57,104 @@ def _distance(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def tree(unit: np.ndarray) -> list[Node]:
-    """Nested nets: each level divides the nodes of the level above by greedy centres at its radius; leaves last."""
+    """Nested nets: each level divides the nodes of the level above by greedy centres at its radius; leaves last.
+
+    A level with more than half as many nodes as the next one below is left out, the root never.
+    """
     n = len(unit)
-    levels = []
-    above = np.zeros(n, np.int64)
+    leaves = np.arange(n)
+    nets = [(np.zeros(min(n, 1), int), np.zeros(n, int))]
+    far = [_distance(unit, unit[:1])[:, 0] if n else np.zeros(0)]
     for limit in LEVELS:
+        above = nets[-1][1]
         centre: list[int] = []
-        parent: list[int] = []
-        own = np.full(n, -1)
-        far = np.full(n, np.inf)
-        for node in range(int(above.max()) + 1 if n else 0):
-            members = np.flatnonzero(above == node)
+        own, to = np.full(n, -1), np.zeros(n)
+        order = np.argsort(above, kind="stable")
+        for members in np.split(order, np.flatnonzero(np.diff(above[order])) + 1) if n else []:
             while len(members):
-                c = members[0]
-                d = _distance(unit[members], unit[c : c + 1])[:, 0]
+                d = _distance(unit[members], unit[members[:1]])[:, 0]
                 near = d <= limit
                 near[0] = True
                 own[members[near]] = len(centre)
-                far[members[near]] = d[near]
-                centre.append(int(c))
-                parent.append(node)
+                to[members[near]] = d[near]
+                centre.append(int(members[0]))
                 members = members[~near]
-        radius = np.zeros(len(centre))
-        np.maximum.at(radius, own, far)
-        levels.append(Node(np.array(centre), radius, np.array(parent), own))
-        above = own
-    leaves = np.arange(n)
-    levels.append(Node(leaves, np.zeros(n), above, leaves))
+        nets.append((np.array(centre, int), own))
+        far.append(to)
+    chosen = [(leaves, leaves, np.zeros(n))]
+    for k in range(len(nets) - 1, -1, -1):
+        centre, own = nets[k]
+        if k == 0 or 2 * len(centre) <= len(chosen[0][0]):
+            radius = np.zeros(len(centre))
+            np.maximum.at(radius, own, far[k])
+            chosen.insert(0, (centre, own, radius))
+    levels = []
+    for centre, own, radius in chosen:
+        levels.append(Node(centre, radius, levels[-1].of[centre] if levels else np.zeros(len(centre), int), own))
     return levels
 
 
-def traverse(x: np.ndarray, tx: list[Node], y: np.ndarray, ty: list[Node], cosine: float) -> Iterator[tuple[np.ndarray, np.ndarray, list[Node], list[Node]]]:
-    """Node pairs within the threshold as wholes, level by level: arrays of nodes of either tree, and their levels."""
+def part(levels: list[Node], wanted: np.ndarray) -> tuple[np.ndarray, list[Node]]:
+    """Vectors to keep, those wanted and the centres of their nodes, and the tree over them."""
+    keep = wanted.copy()
+    for level in levels:
+        keep[level.centre[level.of[wanted]]] = True
+    at = np.flatnonzero(keep)
+    new = np.cumsum(keep) - 1
+    out: list[Node] = []
+    for level in levels:
+        used, own = np.unique(level.of[at], return_inverse=True)
+        centre = new[level.centre[used]]
+        out.append(Node(centre, level.radius[used], out[-1].of[centre] if out else np.zeros(len(used), int), own))
+    return at, out
+
+
+def _children(level: Node, nodes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Nodes of a level whose parents are among ``nodes``, and where their parents stand there."""
+    at = np.full(int(level.parent.max()) + 1, -1)
+    at[nodes] = np.arange(len(nodes))
+    found = np.flatnonzero(at[level.parent] >= 0)
+    return found, at[level.parent[found]]
+
+
+def traverse(x: np.ndarray, tx: list[Node], y: np.ndarray, ty: list[Node], cosine: float) -> Iterator[tuple[np.ndarray, np.ndarray, Node, Node]]:
+    """Node pairs within the threshold as wholes, level by level: arrays of nodes of either tree, and their levels.
+
+    The side whose open nodes are wider goes down next.
+    """
     limit = np.sqrt(2 - 2 * cosine)
-    rows, columns, alive = np.array([0]), np.array([0]), np.ones((1, 1), bool)
     if not len(x) or not len(y):
         return
-    for k, (p, q) in enumerate(zip(tx, ty, strict=True)):
-        # children of what is still open
-        at_row, at_column = np.full(int(p.parent.max()) + 1, -1), np.full(int(q.parent.max()) + 1, -1)
-        at_row[rows], at_column[columns] = np.arange(len(rows)), np.arange(len(columns))
-        new_rows, new_columns = np.flatnonzero(at_row[p.parent] >= 0), np.flatnonzero(at_column[q.parent] >= 0)
-        alive = alive[at_row[p.parent[new_rows]]][:, at_column[q.parent[new_columns]]]
-        rows, columns = new_rows, new_columns
+    i, j = 0, 0
+    rows, columns, alive = np.array([0]), np.array([0]), np.ones((1, 1), bool)
+    while True:
+        p, q = tx[i], ty[j]
         product = x[p.centre[rows]] @ y[q.centre[columns]].T
-        if k == len(tx) - 1:
-            hit = alive & (product >= cosine)
-            a, b = np.nonzero(hit)
-            if len(a):
-                yield rows[a], columns[b], p, q
+        if i == len(tx) - 1 and j == len(ty) - 1:
+            a, b = np.nonzero(product >= cosine)
+            hit = alive[a, b]
+            if hit.any():
+                yield rows[a[hit]], columns[b[hit]], p, q
             return
         d = np.sqrt(np.maximum(2 - 2 * product, 0))
         reach = p.radius[rows][:, None] + q.radius[columns][None, :]
-        alive &= d <= limit + reach + SLACK
         whole = alive & (d + reach <= limit - SLACK)
         a, b = np.nonzero(whole)
         if len(a):
             yield rows[a], columns[b], p, q
-        alive &= ~whole
+        alive &= (d <= limit + reach + SLACK) & ~whole
         keep_rows, keep_columns = alive.any(axis=1), alive.any(axis=0)
         rows, columns, alive = rows[keep_rows], columns[keep_columns], alive[keep_rows][:, keep_columns]
         if not len(rows):
             return
+        if j == len(ty) - 1 or (i < len(tx) - 1 and p.radius[rows].max() >= q.radius[columns].max()):
+            i += 1
+            rows, up = _children(tx[i], rows)
+            alive = alive[up]
+        else:
+            j += 1
+            columns, up = _children(ty[j], columns)
+            alive = alive[:, up]
 
 
 def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -174,11 +219,34 @@ def _assign(batches: Iterator[pa.RecordBatch], pivots: dict[int, np.ndarray]) ->
         yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("id", "copies", "v")), pa.array(dims, pa.int32()), pa.array(pivot), pa.array(far)], ["id", "copies", "v", "dim", "pivot", "far"])
 
 
-BLOCK_SCHEMA = "dim int, pivot int, block int, ids binary, copies binary, held binary, found binary, component binary"
+class Cells(NamedTuple):
+    """Cells of one dimension: pivots, distances of the nearest and farthest vector, and first and last load of each."""
+
+    pivot: np.ndarray
+    least: np.ndarray
+    most: np.ndarray
+    first: np.ndarray
+    last: np.ndarray
+
+    def meet(self, one: int, other: int, limit: float) -> bool:
+        return one == other or _distance(self.pivot[one : one + 1], self.pivot[other : other + 1])[0, 0] <= self.most[one] + self.most[other] + limit + SLACK
+
+    def reach(self, unit: np.ndarray, own: int, limit: float) -> np.ndarray:
+        """Vectors by cells: whether the cell can hold a vector within ``limit`` of this one, a vector of cell ``own``."""
+        d = _distance(unit, self.pivot)
+        apart = _distance(self.pivot[own : own + 1], self.pivot)[0]
+        ring = (d <= self.most + limit + SLACK) & (d >= self.least - limit - SLACK)
+        plane = d * d - d[:, own : own + 1] ** 2 <= 2 * apart * limit + SLACK
+        out = ring & plane
+        out[:, own] = True
+        return out & (self.most >= 0)
+
+
+BLOCK_SCHEMA = "dim int, pivot int, load int, block int, ids binary, copies binary, held binary, tree binary, found binary, component binary"
 
 
 def _build(frame: pd.DataFrame, kind: str, cosine: float) -> pd.DataFrame:
-    """The rows of a block in one row, with what its own vectors have in common: links and components."""
+    """The rows of a block in one row with their tree, and what they have in common: links and components."""
     frame = frame.sort_values("id")
     ids, copies = frame["id"].to_numpy(np.int64), frame["copies"].to_numpy(np.int64)
     raw = np.stack(list(frame["v"])).astype(kind)
@@ -190,11 +258,35 @@ def _build(frame: pd.DataFrame, kind: str, cosine: float) -> pd.DataFrame:
     component = ids[_roots(len(ids), a, b)]
     first = frame.iloc[0]
     return pd.DataFrame([{
-        "dim": first["dim"], "pivot": first["pivot"], "block": first["block"], "ids": ids.tobytes(), "copies": copies.tobytes(),
-        "held": raw.tobytes(), "found": found.astype(np.int64).tobytes(), "component": component.tobytes(),
+        "dim": first["dim"], "pivot": first["pivot"], "load": first["load"], "block": first["block"], "ids": ids.tobytes(), "copies": copies.tobytes(),
+        "held": raw.tobytes(), "tree": pickle.dumps(own), "found": found.astype(np.int64).tobytes(), "component": component.tobytes(),
     }])
 
 
+SENT_SCHEMA = "dim int, low int, high int, pivot int, load int, block int, ids binary, copies binary, held binary, tree binary, component binary"
+
+
+def _send(batches: Iterator[pd.DataFrame], cells: dict[int, Cells], kind: str, cosine: float) -> Iterator[pd.DataFrame]:
+    """Of each block, for each load that it can have links into: the vectors that can have them, with their tree."""
+    limit = float(np.sqrt(2 - 2 * cosine))
+    names = [c.split()[0] for c in SENT_SCHEMA.split(", ")]
+    for batch in batches:
+        for r in batch.to_dict("records"):
+            grid, own = cells[r["dim"]], int(r["load"])
+            raw = np.frombuffer(r["held"], kind).reshape(-1, r["dim"])
+            wide = grid.reach(_unit(raw), int(r["pivot"]), limit)
+            levels = pickle.loads(r["tree"])
+            ids, copies, component = (np.frombuffer(r[c], np.int64) for c in ("ids", "copies", "component"))
+            open_cells = np.flatnonzero(wide.any(axis=0))
+            loads = sorted({load for c in open_cells for load in range(int(grid.first[c]), int(grid.last[c]) + 1)})
+            for load in loads:
+                at, some = part(levels, wide[:, (grid.first <= load) & (load <= grid.last)].any(axis=1))
+                yield pd.DataFrame([(
+                    r["dim"], min(own, load), max(own, load), r["pivot"], own, r["block"], ids[at].tobytes(), copies[at].tobytes(),
+                    raw[at].tobytes(), pickle.dumps(some), component[at].tobytes(),
+                )], columns=names)
+
+
 def _own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Block rows as rows of vectors: links so far, and component so far."""
     for batch in batches:
@@ -202,50 +294,66 @@ def _own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(p) for p in parts], ["id", "found", "component"])
 
 
-def _cross(frame: pd.DataFrame, kind: str, cosine: float) -> pd.DataFrame:
-    """Two blocks: links of each vector into the other block, and edges between their components."""
-    frame = frame.sort_values("block")
-    r, s = frame.iloc[0], frame.iloc[1]
-    x, y = _stack(r["held"], r["dim"], kind), _stack(s["held"], s["dim"], kind)
-    ids = [np.frombuffer(z["ids"], np.int64) for z in (r, s)]
-    copies = [np.frombuffer(z["copies"], np.int64).astype(float) for z in (r, s)]
-    comps = [np.frombuffer(z["component"], np.int64) for z in (r, s)]
-    cx, cy, a, b = _count(traverse(x, tree(x), y, tree(y), cosine), len(x), len(y), *copies)
-    edges = np.unique(np.stack([comps[0][a], comps[1][b]], axis=1), axis=0) if len(a) else np.zeros((0, 2), np.int64)
-    some_x, some_y = cx > 0, cy > 0
+def _cross(key: tuple, frame: pd.DataFrame, cells: dict[int, Cells], kind: str, cosine: float) -> pd.DataFrame:
+    """Two loads, or one with itself: links of each vector into other blocks, and edges between components of blocks."""
+    dim, low, high = key
+    limit = float(np.sqrt(2 - 2 * cosine))
+    held = [(
+        r["block"], r["load"], r["pivot"], _stack(r["held"], dim, kind), pickle.loads(r["tree"]), np.frombuffer(r["ids"], np.int64),
+        np.frombuffer(r["copies"], np.int64).astype(float), np.frombuffer(r["component"], np.int64),
+    ) for r in frame.sort_values("block").to_dict("records")]
+    found = {r[0]: np.zeros(len(r[5])) for r in held}
+    edges = [np.zeros((0, 2), np.int64)]
+    for at, r in enumerate(held):
+        for s in held[at + 1 :]:
+            if (low != high and r[1] == s[1]) or not cells[dim].meet(r[2], s[2], limit):
+                continue
+            cx, cy, a, b = _count(traverse(r[3], r[4], s[3], s[4], cosine), len(r[5]), len(s[5]), r[6], s[6])
+            found[r[0]] += cx
+            found[s[0]] += cy
+            if len(a):
+                edges.append(np.unique(np.stack([r[7][a], s[7][b]], axis=1), axis=0))
+    edge = np.unique(np.concatenate(edges), axis=0)
+    ids = np.concatenate([r[5] for r in held])
+    count = np.concatenate([found[r[0]] for r in held]).astype(np.int64)
     return pd.concat([
-        pd.DataFrame({"id": np.concatenate([ids[0][some_x], ids[1][some_y]]), "found": np.concatenate([cx[some_x], cy[some_y]]).astype(np.int64), "other": -1, "edge": False}),
-        pd.DataFrame({"id": edges[:, 0], "found": 0, "other": edges[:, 1], "edge": True}),
+        pd.DataFrame({"id": ids[count > 0], "found": count[count > 0], "other": -1, "edge": False}),
+        pd.DataFrame({"id": edge[:, 0], "found": 0, "other": edge[:, 1], "edge": True}),
     ])
 
 
-def _pivots(vectors: DataFrame) -> dict[int, np.ndarray]:
+def _pivots(vectors: DataFrame, pivots: tuple[int, int], block: int) -> dict[int, np.ndarray]:
     """For each dimension, vectors far from each other out of a bounded sample, farthest first."""
     sample = bounded_sample(vectors, ["id"], PIVOT_SAMPLE)
-    dims = {r.dim for r in vectors.select(F.size("v").alias("dim")).distinct().collect()}
+    rows = {r.dim: r["count"] for r in vectors.groupBy(F.size("v").alias("dim")).count().collect()}
     out = {}
-    for dim in dims:
+    for dim, n in rows.items():
         own = [r.v for r in sample if len(r.v) == dim] or [r.v for r in vectors.filter(F.size("v") == dim).orderBy("id").limit(1).collect()]
         x = _unit(np.array(own, float))
+        most = min(pivots[1], max(pivots[0], n // block), len(x))
         chosen, far = [0], _distance(x, x[:1])[:, 0]
-        while len(chosen) < min(PIVOTS, len(x)) and far.max() > LEVELS[0]:
+        while len(chosen) < most and far.max() > LEVELS[1]:
             chosen.append(int(far.argmax()))
             far = np.minimum(far, _distance(x, x[chosen[-1:]])[:, 0])
         out[dim] = x[chosen]
     return out
 
 
-def cosine_links(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", cosine: float = 0.9) -> DataFrame:
+def cosine_links(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", cosine: float = 0.9,
+                 pivots: tuple[int, int] = PIVOTS, block: int = BLOCK) -> DataFrame:
     """Link all pairs of rows whose cosine is at least ``cosine`` (at least 0.5), in double precision.
 
     Returns (id, n_links, component_id, kept) for each row: links to other rows, the smallest id reachable over links,
     and whether that is the row's own.
 
+    ``pivots`` are the fewest and most cells, ``block`` the vectors of a block, about; the result is the same for all.
+
     Vectors that are null, empty or zero, or that hold null, NaN or infinite components, link with nothing; so do
     vectors of different dimensions. Equal vectors are one class and link with each other. Repeated rows with the same
     id and vector are copies of each other and give one output row each. Null ids are given back without links, with
     kept = true. Other columns are ignored.
     """
+    spark = vectors.sparkSession
     kind = "<f8" if isinstance(vectors.schema[vector_col].dataType, ArrayType) and isinstance(vectors.schema[vector_col].dataType.elementType, DoubleType) else "<f4"
     element = "double" if kind == "<f8" else "float"
     v = F.col(vector_col)
@@ -260,32 +368,33 @@ def cosine_links(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     usable = source.filter("v IS NOT NULL")
     classes = kept(usable.groupBy("key").agg(F.min("id").alias("id"), F.count("*").alias("copies")), "classes")
     heads = kept(usable.join(classes.hint("merge"), ["key", "id"]).dropDuplicates(["key"]).select("id", "copies", "v"), "heads")
-    pivots = _pivots(heads)
-    placed = kept(heads.mapInArrow(partial(_assign, pivots=pivots), f"id long, copies long, v array<{element}>, dim int, pivot int, far double"), "placed")
-    sizes = placed.groupBy("dim", "pivot").agg(F.count("*").alias("n"), F.max("far").alias("radius")).collect()
-    limit = float(np.sqrt(2 - 2 * cosine))
-    count = {(r.dim, r.pivot): -(-r.n // BLOCK) for r in sizes}
-    first = dict(zip(sorted(count), np.cumsum([0, *(count[k] for k in sorted(count))]).tolist(), strict=False))
-    spark = vectors.sparkSession
-    dealt = spark.createDataFrame([(d, p, count[d, p], first[d, p]) for d, p in sorted(count)] or [(0, 0, 1, 0)], "dim int, pivot int, blocks int, first int")
+    at = _pivots(heads, pivots, block)
+    placed = kept(heads.mapInArrow(partial(_assign, pivots=at), f"id long, copies long, v array<{element}>, dim int, pivot int, far double"), "placed")
+    sizes = placed.groupBy("dim", "pivot").agg(F.count("*").alias("n"), F.min("far").alias("least"), F.max("far").alias("most")).orderBy("dim", "pivot").collect()
+    cells, dealt, number = {}, [], 0
+    for dim, x in at.items():
+        own = [r for r in sizes if r.dim == dim]
+        rows = max(1, min(block, BLOCK_VALUES // dim))
+        width = max(rows // 2, min(LOAD * rows, sum(r.n for r in own) // LOADS), 1)
+        grid = Cells(x, *(np.full(len(x), z) for z in (0.0, -1.0, 0, -1)))
+        start = 0
+        for r in own:
+            count = -(-r.n // rows)
+            grid.least[r.pivot], grid.most[r.pivot] = r.least, r.most
+            grid.first[r.pivot], grid.last[r.pivot] = start // width, (start + (count - 1) * r.n // count) // width
+            dealt.append((dim, r.pivot, r.n, count, number, start, width))
+            number, start = number + count, start + r.n
+        cells[dim] = grid
+    shares = spark.createDataFrame(dealt or [(0, 0, 0, 1, 0, 0, 1)], "dim int, pivot int, n long, blocks long, number long, start long, width long")
+    share = F.pmod(F.xxhash64("id"), F.col("blocks"))
     blocks = kept(
-        placed.join(F.broadcast(dealt), ["dim", "pivot"])
-        .withColumn("block", (F.col("first") + F.pmod(F.xxhash64("id"), F.col("blocks"))).cast("int"))
+        placed.join(F.broadcast(shares), ["dim", "pivot"])
+        .withColumn("block", (F.col("number") + share).cast("int"))
+        .withColumn("load", F.expr("(start + (block - number) * n div blocks) div width").cast("int"))
         .groupBy("block").applyInPandas(partial(_build, kind=kind, cosine=cosine), BLOCK_SCHEMA), "blocks",
     )
-    # blocks of pivots near enough to each other, each pair once
-    near = []
-    for r in sizes:
-        d = _distance(pivots[r.dim], pivots[r.dim][r.pivot : r.pivot + 1])[:, 0]
-        near += [(r.dim, r.pivot, first[s.dim, s.pivot], first[s.dim, s.pivot] + count[s.dim, s.pivot]) for s in sizes if s.dim == r.dim and d[s.pivot] <= r.radius + s.radius + limit + SLACK]
-    partners = spark.createDataFrame(near or [(0, 0, 0, 0)], "dim int, pivot int, from int, to int")
-    paired = (
-        blocks.select("dim", "pivot", "block", "ids", "copies", "held", "component").join(F.broadcast(partners), ["dim", "pivot"])
-        .withColumn("with", F.explode(F.sequence(F.col("from"), F.col("to") - 1))).filter("with <> block")
-        .withColumn("low", F.least("block", "with")).withColumn("high", F.greatest("block", "with"))
-        .select("low", "high", "dim", "block", "ids", "copies", "held", "component")
-    )
-    crossed = kept(paired.groupBy("low", "high").applyInPandas(partial(_cross, kind=kind, cosine=cosine), "id long, found long, other long, edge boolean"), "crossed")
+    sent = blocks.drop("found").mapInPandas(partial(_send, cells=cells, kind=kind, cosine=cosine), SENT_SCHEMA)
+    crossed = kept(sent.groupBy("dim", "low", "high").applyInPandas(partial(_cross, cells=cells, kind=kind, cosine=cosine), "id long, found long, other long, edge boolean"), "crossed")
     own = kept(blocks.select("ids", "found", "component").mapInArrow(_own, "id long, found long, component long"), "own")
     counts = own.select("id", "found").union(crossed.filter("NOT edge").select("id", "found")).groupBy("id").agg(F.sum("found").alias("found"))
     joined = components(crossed.filter("edge").select(F.col("id").alias("a"), F.col("other").alias("b")))

@@ -139,6 +139,52 @@ def test_cosine_links(spark):
             assert (r.n_links, r.component_id, r.kept) == (0, r.vec_id, True)
 
 
+@pytest.mark.parametrize(("size", "spread", "pivots", "block"), [(3, 0.3, (16, 64), 16), (6, 0.5, (8, 8), 40), (24, 0.02, (16, 64), 16)])
+def test_cosine_links_over_many_cells(spark, size, spread, pivots, block):
+    rng = np.random.default_rng(size)
+    centre = rng.normal(size=(6, size))
+    x = np.concatenate([centre[rng.integers(0, 6, 300)] + rng.normal(size=(300, size)) * spread, rng.normal(size=(200, size)), centre[:1] + rng.normal(size=(150, size)) * 0.01])
+    unit = x / np.linalg.norm(x, axis=1)[:, None]
+    hit = unit @ unit.T >= 0.9
+    least = np.arange(len(x))
+    while (least != (low := np.where(hit, least[None, :], len(x)).min(axis=1))).any():
+        least = low
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    made = sorted(covertree.cosine_links(frame, pivots=pivots, block=block).collect())
+    assert [tuple(r) for r in made] == [(i, int(hit[i].sum()) - 1, int(least[i]), bool(least[i] == i)) for i in range(len(x))]
+
+
+def test_cover_tree_parts_and_bounds():
+    rng = np.random.default_rng(4)
+    centre = rng.normal(size=(9, 10))
+    x = covertree._unit(np.concatenate([centre[rng.integers(0, 9, 400)] + rng.normal(size=(400, 10)) * 0.2, rng.normal(size=(100, 10))]))
+    levels = covertree.tree(x)
+    for wanted in (np.ones(500, bool), rng.random(500) < 0.1):
+        at, some = covertree.part(levels, wanted)
+        assert wanted[at].sum() == wanted.sum()
+        for up, level in zip(some, some[1:], strict=False):
+            assert (up.of == level.parent[level.of]).all()
+        for level in some:
+            far = covertree._distance(x[at], x[at][level.centre])[np.arange(len(at)), level.of]
+            assert (far <= level.radius[level.of] + 1e-6).all()
+            assert (level.of[level.centre] == np.arange(len(level.centre))).all()
+    pivots = x[:12]
+    d = covertree._distance(x, pivots)
+    of, far = d.argmin(axis=1), d.min(axis=1)
+    least, most = (np.array([f(far[of == c]) for c in range(12)]) for f in (np.min, np.max))
+    cells = covertree.Cells(pivots, least, most, np.arange(12), np.arange(12))
+    limit = np.sqrt(0.2)
+    near = x @ x.T >= 0.9
+    left_out = 0
+    for c in range(12):
+        own = np.flatnonzero(of == c)
+        can = cells.reach(x[own], c, limit)
+        left_out += (~can).sum()
+        for i, v in enumerate(own):
+            assert can[i, of[near[v]]].all()
+    assert left_out > 1000
+
+
 def test_shards_are_minimax(spark, texts):
     rows = texts * 3 + [(500 + i, "the same text " * 20) for i in range(400)]
     made = sharding.shard_by_size(docs_of(spark, rows)).collect()
