@@ -391,10 +391,10 @@ def cosine_links(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
         placed.join(F.broadcast(shares), ["dim", "pivot"])
         .withColumn("block", (F.col("number") + share).cast("int"))
         .withColumn("load", F.expr("(start + (block - number) * n div blocks) div width").cast("int"))
-        .groupBy("block").applyInPandas(partial(_build, kind=kind, cosine=cosine), BLOCK_SCHEMA), "blocks",
+        .groupBy("block").applyInPandas(lambda frame: _build(frame, kind, cosine), BLOCK_SCHEMA), "blocks",
     )
     sent = blocks.drop("found").mapInPandas(partial(_send, cells=cells, kind=kind, cosine=cosine), SENT_SCHEMA)
-    crossed = kept(sent.groupBy("dim", "low", "high").applyInPandas(partial(_cross, cells=cells, kind=kind, cosine=cosine), "id long, found long, other long, edge boolean"), "crossed")
+    crossed = kept(sent.groupBy("dim", "low", "high").applyInPandas(lambda key, frame: _cross(key, frame, cells, kind, cosine), "id long, found long, other long, edge boolean"), "crossed")
     own = kept(blocks.select("ids", "found", "component").mapInArrow(_own, "id long, found long, component long"), "own")
     counts = own.select("id", "found").union(crossed.filter("NOT edge").select("id", "found")).groupBy("id").agg(F.sum("found").alias("found"))
     joined = components(crossed.filter("edge").select(F.col("id").alias("a"), F.col("other").alias("b")))
