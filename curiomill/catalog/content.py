@@ -13,7 +13,7 @@ from curiomill.catalog.registry import query
 from curiomill.functions import html as H
 from curiomill.functions import urls as U
 from curiomill.functions.selectors import split_selector
-from curiomill.operators import evidence
+from curiomill.operators import elements, evidence
 
 # -- SQL twins of the selector cascades ------------------------------------------
 
@@ -286,3 +286,50 @@ _PROBES = [".price", "h1", ".product-price", "[itemprop=\"price\"]", "td"]
 def p18(spark, sf):
     found = evidence.selector_coverage(product_pages(spark, sf), _PROBES)
     return found.withColumn("samples", F.array_join("samples", "|"))
+
+
+def _joined(pattern: str, column: str = "d") -> str:
+    """Joined texts of what the pattern gives, without tags."""
+    plain = Q.strip(Q.decode("regexp_replace(regexp_replace(t, '<[^>]*>', '', 'g'), '\\s+', ' ', 'g')"))
+    return f"array_to_string(list_transform(regexp_extract_all({column}, {Q.quote(pattern)}, 1), lambda t: {plain}), '|')"
+
+
+def _select(pages, selectors: dict[str, str]):
+    found = elements.select_texts(pages.select("url", "html"), selectors)
+    return found.select("url", *[F.array_join(name, "|").alias(name) for name in selectors])
+
+
+@query(
+    "P18_nested_selectors",
+    ("product_pages",),
+    f"""{DOMS} SELECT url, {_joined('<h1[^>]*>(.*?)</h1>')} AS titles, {_joined('<td>(.*?)</td>')} AS cells, {_joined('<li>(.*?)</li>')} AS items,
+ {_joined('<(?:div class="product-description"|p id="description")>(.*?)</(?:div|p)>')} AS about,
+ {_joined('<(?:span|b) class="price(?: old)?">(.*?)</(?:span|b)>')} AS prices, '' AS none,
+ {_joined('<body>(.*)</body>')} AS whole FROM doms""",
+)
+def p18_nested(spark, sf):
+    """Descendants, children, lists and whole texts."""
+    return _select(product_pages(spark, sf), {
+        "titles": "body > h1.product-title", "cells": "table td, tr > th", "items": "ul > li", "about": "div.product-description, body > p#description",
+        "prices": "html body > .price", "none": "table > td, .price .price", "whole": "body",
+    })
+
+
+@query(
+    "L17_nested_selectors",
+    ("listing_pages",),
+    f"""SELECT url, {_joined('<a[^>]*>(.*?)</a>', "regexp_extract(d, '<nav>(.*?)</nav>', 1)")} AS menu,
+ {_joined('<li class="next"><a[^>]*>(.*?)</a>')} AS next, {_joined('<a[^>]*class="card"[^>]*>(.*?)</a>')} AS cards, {_joined('<b>(.*?)</b>')} AS marked
+ FROM (SELECT url, {Q.dom('html')} AS d FROM listing_pages)""",
+)
+def l17_nested(spark, sf):
+    return _select(table(spark, sf, "listing_pages"), {"menu": "nav > a", "next": "li.next > a", "cards": "body > a.card", "marked": "body a > b"})
+
+
+@query(
+    "P6_nested_pages",
+    (),
+    f"SELECT url, {_joined('<h1[^>]*>(.*?)</h1>')} AS title FROM (SELECT url, {Q.dom('html')} AS d FROM pages)",
+)
+def p6_nested(spark, sf):
+    return _select(table(spark, sf, "pages"), {"title": "html h1"})
