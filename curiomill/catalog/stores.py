@@ -12,7 +12,7 @@ from curiomill.catalog.reports import REPORT
 from curiomill.operators import dedup, evidence, reports, sources_config
 from curiomill.schemas import BOOL_FIELDS, RECORD_FIELDS
 from curiomill.session import new_folder
-from curiomill.sources import store, tables
+from curiomill.sources import bucketed, store, tables
 
 
 @query("S1_load_sources", ("sources",), "SELECT * FROM sources")
@@ -95,6 +95,24 @@ def s9(spark, sf):
     return dedup.new_rows(products, products.filter("id % 3 = 0"), "id")
 
 
+@query(
+    "S9_bucketed_store",
+    ("products",),
+    """, one AS (SELECT source_url, min(id) AS pos FROM products WHERE id % 3 = 0 GROUP BY source_url),
+two AS (SELECT source_url, min(id) AS pos FROM products WHERE source_url NOT IN (SELECT source_url FROM one) GROUP BY source_url)
+SELECT row_number() OVER (ORDER BY pos) AS id, source_url FROM one
+UNION ALL SELECT row_number() OVER (ORDER BY pos) + (SELECT count(*) FROM one), source_url FROM two""",
+)
+def s9_bucketed(spark, sf):
+    """A third of the products, then all of them, one batch again; the rows of the store."""
+    path = new_folder(spark, "store")
+    rows = table(spark, sf, "products").withColumn("pos", F.col("id"))
+    bucketed.insert(rows.filter("id % 3 = 0"), path, "first")
+    bucketed.insert(rows, path, "second")
+    bucketed.insert(rows, path, "second")
+    return bucketed.products(spark, path).select("id", "source_url")
+
+
 def _csv_sql() -> str:
     cols = ["CAST(id AS VARCHAR) AS id", "strftime(scrape_timestamp, '%Y-%m-%d %H:%M:%S') AS scrape_timestamp", "source_url"]
     cols.append("CASE WHEN extraction_confidence <> 0 THEN printf('%.3f', extraction_confidence) ELSE '' END AS extraction_confidence")
