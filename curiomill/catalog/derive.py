@@ -2,13 +2,17 @@
 
 The given tables hold no listings, so product pages, listing pages, responses, stored products, sources and attempt
 logs are built from ``part``, ``supplier`` and ``events``. Each definition is one SQL text that Spark and DuckDB both
-run; it has no shuffle, so its work grows with the table it reads.
+run; its work grows with the table it reads.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from curiomill.session import computed_once
+
+ROWS_A_TASK = 2_000
+
 GIVEN = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
     "pages", "benchmark", "labels", "conversations",
@@ -223,10 +227,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given or derived table as a DataFrame."""
     if name in GIVEN:
         return given(spark, sf_dir, name)
-    base = {"sources": "supplier", "listings": "part", "attempts": "events"}.get(name)
+    base = {"sources": "supplier", "attempts": "events"}.get(name)
     if base is not None:
         return _run(spark, SQL[name], base, given(spark, sf_dir, base))
-    return _run(spark, SQL[name], "listings", table(spark, sf_dir, "listings"))
+    listings = _run(spark, SQL["listings"], "part", spread(given(spark, sf_dir, "part")))
+    return listings if name == "listings" else computed_once(_run(spark, SQL[name], "listings", listings))
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """Rows of a compact file dealt out over tasks of about ROWS_A_TASK rows.
+
+    A row of a few bytes becomes a page of mark-up; a file of 128 MB, one task to Spark's reader, would be many GB of pages.
+    """
+    return computed_once(rows.repartition(max(1, -(-rows.count() // ROWS_A_TASK))))
 
 
 def _run(spark: SparkSession, sql: str, base: str, df: DataFrame) -> DataFrame:

@@ -76,39 +76,55 @@ ANCHOR = r"(?i)(?:<li(?:\s[^>]*)?>[^<]*)?<a(?:\s[^>]*)?>[^<]*"
 
 def _attribute(tag: Column, name: str) -> Column:
     quoted = F.regexp_extract(tag, rf"""(?i)\s{name}\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)""", 1)
-    return decode_entities(F.regexp_replace(quoted, r"""^["']|["']$""", ""))
+    return F.regexp_replace(quoted, r"""^["']|["']$""", "")
 
 
 def anchors(html: Column) -> Column:
-    """Array of the page's anchors in document order (``pos`` starts at 0)."""
+    """Array of the page's anchors in document order (``pos`` starts at 0).
 
-    def one(token: Column, index: Column) -> Column:
-        tag = F.regexp_extract(token, r"(?is)(<a(?:\s[^>]*)?>)[^<]*$", 1)
-        item = F.regexp_extract(token, r"(?is)^(<li(?:\s[^>]*)?>)", 1)
+    In three passes: what a lambda uses several times is worked out each time, unless an element holds it already.
+    """
+
+    def cut(token: Column) -> Column:
+        return F.struct(
+            F.regexp_extract(token, r"(?is)(<a(?:\s[^>]*)?>)[^<]*$", 1).alias("tag"),
+            F.regexp_extract(token, r"(?is)^(<li(?:\s[^>]*)?>)", 1).alias("item"),
+            F.regexp_extract(token, r"(?s)>([^<>]*)$", 1).alias("text"),
+        )
+
+    def raw(a: Column) -> Column:
+        named = [_attribute(a["tag"], n).alias(n.replace("-", "_")) for n in ("href", "class", "rel", "data-tn", "aria-label")]
+        numbered = a["tag"].rlike(r"(?i)\sdata-page-number[\s=>/]").alias("numbered")
+        return F.struct(*named, a["text"].alias("text"), numbered, _attribute(a["item"], "class").alias("item_class"))
+
+    def one(a: Column, index: Column) -> Column:
         return F.struct(
             index.cast("bigint").alias("pos"),
-            strip(_attribute(tag, "href")).alias("href"),
-            strip(decode_entities(F.regexp_extract(token, r"(?s)>([^<>]*)$", 1))).alias("text"),
-            _attribute(tag, "class").alias("class"),
-            _attribute(tag, "rel").alias("rel"),
-            _attribute(tag, "data-tn").alias("data_tn"),
-            _attribute(tag, "aria-label").alias("aria_label"),
-            tag.rlike(r"(?i)\sdata-page-number[\s=>/]").alias("numbered"),
-            _attribute(item, "class").alias("item_class"),
+            strip(decode_entities(a["href"])).alias("href"),
+            strip(decode_entities(a["text"])).alias("text"),
+            *[decode_entities(a[c]).alias(c) for c in ("class", "rel", "data_tn", "aria_label")],
+            a["numbered"].alias("numbered"),
+            decode_entities(a["item_class"]).alias("item_class"),
         )
 
-    return F.transform(F.regexp_extract_all(dom(html), F.lit(ANCHOR), F.lit(0)), one)
+    return F.transform(F.transform(F.transform(F.regexp_extract_all(dom(html), F.lit(ANCHOR), F.lit(0)), cut), raw), one)
 
 
 # -- JSON-LD ------------------------------------------------------------------
 
 
-def _offer(block: Column) -> Column:
-    """Offer object of one block as text; null when there is none."""
-    usable = F.try_parse_json(block).isNotNull() & F.ltrim(block).startswith("{")
-    offers = F.get_json_object(block, "$.offers")
-    single = F.when(offers.startswith("["), F.get_json_object(block, "$.offers[0]")).otherwise(offers)
-    return F.when(usable & single.startswith("{"), single)
+def _offers(blocks: Column) -> Column:
+    """Offer object of each block as text; null when there is none. One pass for each step."""
+
+    def single(b: Column) -> Column:
+        first = F.when(b["offers"].startswith("["), F.get_json_object(b["block"], "$.offers[0]")).otherwise(b["offers"])
+        return F.struct(b["usable"].alias("usable"), first.alias("single"))
+
+    found = F.transform(blocks, lambda block: F.struct(
+        block.alias("block"), F.get_json_object(block, "$.offers").alias("offers"),
+        (F.try_parse_json(block).isNotNull() & F.ltrim(block).startswith("{")).alias("usable"),
+    ))
+    return F.transform(F.transform(found, single), lambda s: F.when(s["usable"] & s["single"].startswith("{"), s["single"]))
 
 
 def ld_offer(html: Column) -> Column:
@@ -118,8 +134,7 @@ def ld_offer(html: Column) -> Column:
     that is not text sets the price and the search goes on, so the last such price counts when no block ends it.
     """
 
-    def read(block: Column) -> Column:
-        offer = _offer(block)
+    def read(offer: Column) -> Column:
         keys = F.json_object_keys(offer)
         has_price = F.coalesce(F.array_contains(keys, "price"), F.lit(False))
         raw = F.coalesce(F.get_json_object(offer, "$.price"), F.lit("None"))
@@ -133,7 +148,7 @@ def ld_offer(html: Column) -> Column:
         )
         return F.struct(has_price.alias("has_price"), price.alias("price"), currency.alias("currency"))
 
-    blocks = F.transform(F.regexp_extract_all(html, F.lit(LD_BLOCK), F.lit(1)), read)
+    blocks = F.transform(_offers(F.regexp_extract_all(html, F.lit(LD_BLOCK), F.lit(1))), read)
     priced = F.filter(blocks, lambda b: b["has_price"])
     good = F.get(F.filter(priced, lambda b: b["currency"].isNotNull()), F.lit(0))
     last = F.get(F.reverse(priced), F.lit(0))

@@ -77,13 +77,11 @@ def node_pattern(selectors: Iterable[str]) -> str:
 
 def nodes(dom: Column, selectors: Iterable[str]) -> Column:
     """Array of (tag, text) in document order; text is what stands before the first child."""
-    return F.transform(
+    raw = F.transform(
         F.regexp_extract_all(dom, F.lit(node_pattern(selectors)), F.lit(0)),
-        lambda t: F.struct(
-            F.substring_index(t, ">", 1).alias("tag"),
-            strip(decode_entities(F.regexp_extract(t, r"(?s)^[^>]*>(.*)$", 1))).alias("text"),
-        ),
+        lambda t: F.struct(F.substring_index(t, ">", 1).alias("tag"), F.regexp_extract(t, r"(?s)^[^>]*>(.*)$", 1).alias("text")),
     )
+    return F.transform(raw, lambda n: F.struct(n["tag"].alias("tag"), strip(decode_entities(n["text"])).alias("text")))
 
 
 def matches(node_array: Column, selector: str) -> Column:

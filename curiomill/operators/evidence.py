@@ -10,6 +10,7 @@ from curiomill.functions import html as H
 from curiomill.functions import selectors as S
 from curiomill.functions import urls as U
 from curiomill.functions.lexicon import price_line_mark
+from curiomill.session import computed_once
 
 NARROW = K.TITLE_SELECTORS + K.PRICE_SELECTORS + K.DESCRIPTION_SELECTORS + K.SPECS_SELECTORS + K.BRAND_SELECTORS
 WIDE = (
@@ -29,7 +30,7 @@ def page_metrics(pages: DataFrame) -> DataFrame:
 
 def readable_pages(pages: DataFrame) -> DataFrame:
     """Add ``raw_text`` and ``skip_reason`` (null for pages to be read on)."""
-    text = pages.withColumn("raw_text", H.raw_text(F.col("html")))
+    text = computed_once(pages.withColumn("raw_text", H.raw_text(F.col("html"))))
     reason = F.when(H.is_forbidden(F.col("status")), "forbidden").when(
         H.is_challenge(F.col("raw_text")), "challenge"
     )

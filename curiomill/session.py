@@ -8,6 +8,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -41,6 +42,14 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def computed_once(df: DataFrame) -> DataFrame:
+    """The same rows, with costly columns worked out here only.
+
+    Spark moves later filters down to the source and works out there, once more, each column that they name. It moves
+    none below columns of which one is not deterministic and in use; this one keeps all rows.
+    """
+    return df.withColumn("_task", F.spark_partition_id()).filter("_task >= 0").drop("_task")
+
 
 @contextmanager
 def run_settings(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
