@@ -15,10 +15,11 @@ from curiomill import constants as K
 from curiomill.functions import urls as U
 from curiomill.functions.html import anchors
 from curiomill.functions.text import contains_any
+from curiomill.session import computed_once
 
 
 def with_anchors(pages: DataFrame, html: str = "html") -> DataFrame:
-    return pages.withColumn("anchors", anchors(F.col(html)))
+    return computed_once(pages.withColumn("anchors", anchors(F.col(html))))
 
 
 def _has_class(classes: Column, name: Column) -> Column:
@@ -177,10 +178,8 @@ def next_page(selector: Column, short: bool = False) -> Column:
 
 def next_page_links(pages: DataFrame, selector: str = "next_page_selector", short: bool = False) -> DataFrame:
     """(page_url, next_url) for every page; null when the page has no next link."""
-    href = next_page(F.col(selector), short)
-    return with_anchors(pages).select(
-        F.col("url").alias("page_url"), U.resolve(F.col("url"), href).alias("next_url")
-    )
+    found = with_anchors(pages).select(F.col("url").alias("page_url"), next_page(F.col(selector), short).alias("href"))
+    return computed_once(found).select("page_url", U.resolve(F.col("page_url"), F.col("href")).alias("next_url"))
 
 
 # -- probes ------------------------------------------------------------------
