@@ -21,6 +21,8 @@ from curiomill.schemas import RECORD
 from curiomill.session import cut_lineage
 from curiomill.sources.store import assign_ids, insert_products, stored_products
 
+PAGES_A_FILE = 2_000
+
 OUTCOMES = T.StructType([
     T.StructField("pos", T.LongType()), T.StructField("url", T.StringType()), T.StructField("skip_reason", T.StringType()),
     T.StructField("failure_type", T.StringType()), T.StructField("error", T.StringType()), *RECORD.fields,
@@ -113,7 +115,7 @@ def run_in_steps(
     until the store has ``target_rows`` rows or ``most_steps`` steps were done. Returns the rows in the store.
 
     Rows that share a URL are one page: that of the smallest ``pos``. Pages are numbered without a sort in one task and
-    written once by step, so each step reads its own pages only.
+    written once by step, so each step reads its own pages only; a long step has many files, so as many tasks work on it.
     """
     spark = run.spark
     left = run.unprocessed(pages).select("pos", "url", "html", "status")
@@ -122,7 +124,9 @@ def run_in_steps(
     start = max(run.committed(), default=-1) + 1
     numbered = assign_ids(once, 0, ("pos", "url")).withColumn("step", F.floor((F.col("id") - 1) / F.lit(every)) + start)
     staged = f"{run.path}/staged-{start}-{time.time_ns()}"
-    numbered.repartition("step").write.partitionBy("step").parquet(staged)
+    most = numbered.agg(F.max("id")).first()[0] or 0
+    files = max(1, -(-most // PAGES_A_FILE))
+    numbered.repartitionByRange(files, "id").write.partitionBy("step").parquet(staged)
     by_step = spark.read.schema(numbered.schema).parquet(staged)
     sizes = sorted((r.step, r.n) for r in by_step.groupBy("step").agg(F.count("*").alias("n")).collect())  # one row a step
     for step, n in sizes[:most_steps]:
