@@ -29,6 +29,7 @@ CLOSES = {
 }
 SCOPES = frozenset("ul ol dl table select div section article body".split())
 
+PAGES_A_TASK = 2_000
 ELEMENTS = "page string, first int, last int, parent int, start int, size int, head string, text string"
 TAG = re.compile(r"</?([A-Za-z][^\s>/]*)")
 
@@ -138,13 +139,18 @@ def _is(compound: str) -> Column:
     return F.coalesce(F.concat("head", F.lit(">")).rlike(tag_pattern(compound)), F.lit(False))
 
 
-def selected(rows: DataFrame, selectors: dict[str, str]) -> DataFrame:
-    """Element rows that a selector gives or needs, and the text rows, with a boolean column for each selector."""
+def selected(rows: DataFrame, selectors: dict[str, str], tasks: int | None = None) -> DataFrame:
+    """Element rows that a selector gives or needs, and the text rows, with a boolean column for each selector.
+
+    ``tasks`` deals the pages out over so many; else Spark joins tasks by packed bytes, in which mark-up is far smaller.
+    """
     options = {name: parse_steps(s) for name, s in selectors.items()}
     compounds = sorted({c for steps in options.values() for option in steps for _, c in option})
     mark = {c: f"is_{i}" for i, c in enumerate(compounds)}
     rows = rows.select("page", "first", "last", "parent", "start", "size", "text", *[_is(c).alias(m) for c, m in mark.items()])
     rows = rows.filter(F.expr(" OR ".join(["first = -1", *mark.values()])))
+    if tasks is not None:
+        rows = rows.repartition(tasks, "page")
     before = Window.partitionBy("page").orderBy("first").rowsBetween(Window.unboundedPreceding, -1)
     family = Window.partitionBy("page", "meets")
     columns = [*rows.columns]
@@ -188,7 +194,8 @@ def select_texts(pages: DataFrame, selectors: dict[str, str], html_col: str = "h
     names = {f"found_{i}": s for i, s in enumerate(selectors.values())}
     page = F.sha2(F.coalesce(F.col(html_col), F.lit("")), 256)
     doms = pages.filter(F.col(html_col).isNotNull()).select(page.alias("page"), F.col(html_col).alias("html")).dropDuplicates(["page"])
-    rows = selected(elements(doms.select("page", dom(F.col("html")).alias("html"))), names)
+    tasks = max(1, -(-pages.count() // PAGES_A_TASK))
+    rows = selected(elements(doms.select("page", dom(F.col("html")).alias("html"))), names, tasks)
     spans = [F.sort_array(F.collect_list(F.when(F.col(n), F.struct("first", "start", "size")))).alias(n) for n in names]
     lists = rows.groupBy("page").agg(F.max("text").alias("text"), *spans)
 
