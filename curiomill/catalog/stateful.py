@@ -14,7 +14,7 @@ from curiomill.catalog.registry import query
 from curiomill.operators.breaker import breaker_status
 from curiomill.operators.chunks import mark_halted
 from curiomill.plans.runs import Run, run_in_steps
-from curiomill.session import cut_lineage, new_folder
+from curiomill.session import new_folder
 from curiomill.sources.store import stored_products
 from curiomill.streaming import flow
 from curiomill.streaming.breaker import as_events, closing_row, requests_and_results, run_breaker, stream_breaker
@@ -49,8 +49,10 @@ def _in_time(spark, events: DataFrame, name: str, files_a_trigger: int) -> DataF
 def _one_after_another(spark, rows: DataFrame, name: str, files: int, files_a_trigger: int, closing: DataFrame | None = None) -> DataFrame:
     """Rows as a stream of files that arrive in the order of the column ``rough``."""
     path = new_folder(spark, name)
-    cut = cut_lineage(rows.repartitionByRange(files, "rough").withColumn("part", F.spark_partition_id()), "log")
     plain = rows.drop("rough")
+    parts = new_folder(spark, "log")  # a folder for each part, so that a part is read without a look at the others
+    rows.repartitionByRange(files, "rough").withColumn("part", F.spark_partition_id()).write.partitionBy("part").parquet(parts)
+    cut = spark.read.schema(rows.withColumn("part", F.lit(0)).schema).parquet(parts)
     for part in range(files):  # one write each: files are read in order of their time
         cut.filter(F.col("part") == part).select(*plain.columns).repartition(1).write.mode("append").parquet(path)
     if closing is not None:

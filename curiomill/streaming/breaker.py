@@ -127,9 +127,14 @@ def stream_breaker(
 
 
 def run_breaker(decisions: DataFrame, path: str, checkpoint: str) -> DataFrame:
-    """Write the decisions of all events that are there, and read them."""
+    """Write the decisions of all events that are there, and read them.
+
+    The state has as many partitions as there are cores, if that is fewer than shuffles have: each costs every trigger a
+    store, a Python worker and a checkpoint, however few domains it has.
+    """
     spark = decisions.sparkSession
-    with run_settings(spark, ROCKSDB):
+    parts = min(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    with run_settings(spark, ROCKSDB | {"spark.sql.shuffle.partitions": str(parts)}):
         query = decisions.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
         query.awaitTermination()
     return spark.read.schema(decisions.schema).parquet(path)
