@@ -174,14 +174,23 @@ def _fetched(pages: DataFrame, minutes) -> DataFrame:
     return pages.withColumn("fetched_at", F.timestamp_seconds(second)).withColumn("rough", second + F.pmod(F.xxhash64("url"), F.lit(1800)))
 
 
+def _all_in_one(spark, rows: DataFrame, name: str, files: int) -> DataFrame:
+    """Rows as a stream whose files, ``files`` or as many as hold FILE_ROWS rows each, come in one trigger. Their order does
+    not count then, so tasks write them side by side."""
+    path, plain = new_folder(spark, name), rows.drop("rough")
+    files = max(files, -(-rows.count() // FILE_ROWS))
+    plain.repartition(files, "pos", "url").write.parquet(path)
+    return spark.readStream.schema(plain.schema).parquet(path)
+
+
 def _listing_flow(spark, sf, listing_files: int, page_files: int, a_trigger: int) -> DataFrame:
     store = new_folder(spark, "store")
     listings = _fetched(table(spark, sf, "listing_pages"), F.lit(0))
     pages = _fetched(_pages(spark, sf), F.col("pos") % 20)
-    flow.run_listing_flow(
-        _one_after_another(spark, listings, "listings", listing_files, a_trigger), _one_after_another(spark, pages, "pages", page_files, a_trigger),
-        store, new_folder(spark, "checkpoint"),
-    )
+    def stream(rows: DataFrame, name: str, files: int) -> DataFrame:
+        return _all_in_one(spark, rows, name, files) if files <= a_trigger else _one_after_another(spark, rows, name, files, a_trigger)
+
+    flow.run_listing_flow(stream(listings, "listings", listing_files), stream(pages, "pages", page_files), store, new_folder(spark, "checkpoint"))
     return stored_products(spark, store).select("source_url")
 
 

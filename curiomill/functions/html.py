@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from curiomill import constants as K
-from curiomill.functions.text import contains_any, decode_entities, strip
+from curiomill.functions.text import contains_any, decode_entities, once, strip
 
 # fixed value: JSON-LD block
 LD_BLOCK = r"""(?is)<script[^>]+type=["']application/ld\+json["'][^>]*>(.*?)</script>"""
@@ -76,7 +76,9 @@ ANCHOR = r"(?i)(?:<li(?:\s[^>]*)?>[^<]*)?<a(?:\s[^>]*)?>[^<]*"
 
 def _attribute(tag: Column, name: str) -> Column:
     quoted = F.regexp_extract(tag, rf"""(?i)\s{name}\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)""", 1)
-    return F.regexp_replace(quoted, r"""^["']|["']$""", "")
+    value = F.regexp_replace(quoted, r"""^["']|["']$""", "")
+    # most tags lack most attributes; a tag without the name, in any case, needs no pattern
+    return F.when(F.lower(tag).contains(name), value).otherwise("")
 
 
 def anchors(html: Column) -> Column:
@@ -149,11 +151,17 @@ def ld_offer(html: Column) -> Column:
         return F.struct(has_price.alias("has_price"), price.alias("price"), currency.alias("currency"))
 
     blocks = F.transform(_offers(F.regexp_extract_all(html, F.lit(LD_BLOCK), F.lit(1))), read)
-    priced = F.filter(blocks, lambda b: b["has_price"])
-    good = F.get(F.filter(priced, lambda b: b["currency"].isNotNull()), F.lit(0))
-    last = F.get(F.reverse(priced), F.lit(0))
-    return F.struct(
-        F.coalesce(good["price"], last["price"]).alias("price"),
-        F.coalesce(good["currency"], F.lit("USD")).alias("currency"),
-        F.concat(F.lit("PRICE: "), good["price"], F.lit(" "), good["currency"]).alias("line"),
-    )
+
+    def ends(priced: Column) -> Column:
+        good = F.get(F.filter(priced, lambda b: b["currency"].isNotNull()), F.lit(0))
+        return F.struct(good.alias("good"), F.get(F.reverse(priced), F.lit(0)).alias("last"))
+
+    def told(end: Column) -> Column:
+        good, last = end["good"], end["last"]
+        return F.struct(
+            F.coalesce(good["price"], last["price"]).alias("price"),
+            F.coalesce(good["currency"], F.lit("USD")).alias("currency"),
+            F.concat(F.lit("PRICE: "), good["price"], F.lit(" "), good["currency"]).alias("line"),
+        )
+
+    return once(once(F.filter(blocks, lambda b: b["has_price"]), ends), told)

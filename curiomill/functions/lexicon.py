@@ -11,7 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from curiomill import constants as K
-from curiomill.functions.text import alternation, contains_any, found, words
+from curiomill.functions.text import alternation, contains_any, found, once, words
 
 _GOLD = (
     r"(?:" + "|".join(K.KARATS) + r")(?:\s(?:" + "|".join(K.GOLD_COLOURS) + r"))?\sgold"
@@ -41,9 +41,10 @@ def _joined(hits: Column) -> Column:
 
 
 def _mapped(key: Column, pairs: list[tuple[str, str]]) -> Column:
-    return reduce(
-        lambda acc, p: F.when(F.lower(key) == p[0].lower(), p[1]).otherwise(acc), pairs, F.lit(None).cast("string")
-    )
+    def chosen(low: Column) -> Column:
+        return reduce(lambda acc, p: F.when(low == p[0].lower(), p[1]).otherwise(acc), pairs, F.lit(None).cast("string"))
+
+    return once(F.lower(key), chosen)
 
 
 def labelled(text: Column, label: str) -> Column:

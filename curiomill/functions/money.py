@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from curiomill import constants as K
-from curiomill.functions.text import found
+from curiomill.functions.text import found, once
 from curiomill.functions.urls import has_rarity_word, site_currency
 
 NUMBER = r"[0-9][0-9,]*(?:\.[0-9]+)?"
@@ -63,23 +63,26 @@ def quoted_price(text: Column) -> Column:
     A winning bid or hammer price goes first, then the higher end of an estimate, then the PRICE line, then the
     first amount with a money symbol. Shipping thresholds do not count. No price gives 0.
     """
-    clean = F.regexp_replace(text, rf"(?i)shipping\s+(?:on\s+orders\s+)?(?:over|above)\s+[^0-9\n]*{NUMBER}", " ")
-    bid = found(clean, rf"(?i)(?:winning bid|hammer price)[^0-9\n]*{NUMBER}")
-    estimate = found(clean, rf"(?i)estimate[^0-9\n]*{NUMBER}(?:\s*[-–]\s*[^0-9\n]*{NUMBER})?")
-    line = found(clean, rf"(?m)^PRICE: [^0-9\n]*{NUMBER}[^\n]*")
-    symbol = found(clean, rf"(?i)(?:[$€£₹]|\brs\b\.?|\binr\b)\s*{NUMBER}")
-    segment = F.coalesce(bid, estimate, line, symbol)
-    amounts = F.transform(
-        F.regexp_extract_all(segment, F.lit(NUMBER), F.lit(0)),
-        lambda n: F.replace(n, F.lit(","), F.lit("")).cast("double"),
-    )
-    price = F.when(bid.isNull() & estimate.isNotNull(), F.array_max(F.slice(amounts, 1, 2))).otherwise(
-        F.get(amounts, F.lit(0))
-    )
-    mark = F.lower(F.regexp_extract(segment, r"(?i)([$€£₹]|\b(?:rs|inr|usd|eur|gbp)\b)", 1))
     codes = K.CURRENCY_SYMBOLS + [("usd", "USD"), ("eur", "EUR"), ("gbp", "GBP")]
-    currency = reduce(lambda acc, item: F.when(mark == item[0], item[1]).otherwise(acc), codes, F.lit("INR"))
-    return F.struct(
-        F.coalesce(price, F.lit(0.0)).alias("price"),
-        currency.alias("currency"),
-    )
+
+    def quoted(clean: Column, bid: Column) -> Column:
+        estimate = found(clean, rf"(?i)estimate[^0-9\n]*{NUMBER}(?:\s*[-–]\s*[^0-9\n]*{NUMBER})?")
+        line = found(clean, rf"(?m)^PRICE: [^0-9\n]*{NUMBER}[^\n]*")
+        symbol = found(clean, rf"(?i)(?:[$€£₹]|\brs\b\.?|\binr\b)\s*{NUMBER}")
+        ranged = once(estimate, lambda e: F.when(e.isNotNull(), F.struct(F.lit(True).alias("high"), e.alias("segment"))))
+        single = F.struct(F.lit(False).alias("high"), F.coalesce(line, symbol).alias("segment"))
+        return once(bid, lambda b: F.when(b.isNotNull(), F.struct(F.lit(False).alias("high"), b.alias("segment"))).otherwise(F.coalesce(ranged, single)))
+
+    def read(quote: Column) -> Column:
+        amounts = F.transform(
+            F.regexp_extract_all(quote["segment"], F.lit(NUMBER), F.lit(0)),
+            lambda n: F.replace(n, F.lit(","), F.lit("")).cast("double"),
+        )
+        price = F.when(quote["high"], F.array_max(F.slice(amounts, 1, 2))).otherwise(F.get(amounts, F.lit(0)))
+        mark = F.lower(F.regexp_extract(quote["segment"], r"(?i)([$€£₹]|\b(?:rs|inr|usd|eur|gbp)\b)", 1))
+        currency = once(mark, lambda m: reduce(lambda acc, item: F.when(m == item[0], item[1]).otherwise(acc), codes, F.lit("INR")))
+        return F.struct(F.coalesce(price, F.lit(0.0)).alias("price"), currency.alias("currency"))
+
+    clean = F.regexp_replace(text, rf"(?i)shipping\s+(?:on\s+orders\s+)?(?:over|above)\s+[^0-9\n]*{NUMBER}", " ")
+    bid = rf"(?i)(?:winning bid|hammer price)[^0-9\n]*{NUMBER}"
+    return once(once(clean, lambda c: quoted(c, found(c, bid))), read)

@@ -13,7 +13,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from curiomill.functions.text import decode_entities, strip
+from curiomill.functions.text import decode_entities, once, strip
 
 _PART = re.compile(r"""\.(?P<cls>[\w-]+)|\#(?P<id>[\w-]+)|\[(?P<attr>[\w-]+)(?:(?P<op>\*?=)["'](?P<val>[^"']*)["'])?\]""")
 
@@ -101,7 +101,7 @@ def first_text(node_array: Column, selectors: Iterable[str], size: int = 0, long
         text = F.get(matches(node_array, selector), F.lit(0))
         if size:
             text = F.substring(text, 1, size)
-        options.append(text if longer_than is None else F.when(F.length(text) > longer_than, text))
+        options.append(text if longer_than is None else once(text, lambda t: F.when(F.length(t) > longer_than, t)))
     return F.coalesce(*options)
 
 
@@ -121,6 +121,5 @@ def joined_text(
         if drop_empty:
             texts = F.filter(texts, lambda t: t != "")
         text = F.array_join(texts, separator)
-        enough = F.length(F.substring(text, 1, size) if size else text) > longer_than
-        options.append(F.when(enough, F.substring(text, 1, size) if size else text))
+        options.append(once(F.substring(text, 1, size) if size else text, lambda t: F.when(F.length(t) > longer_than, t)))
     return F.coalesce(*options)

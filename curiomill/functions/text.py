@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from functools import reduce
 from operator import or_
 
@@ -16,6 +16,12 @@ def contains_any(column: Column, words: Iterable[str]) -> Column:
     return reduce(or_, [column.contains(w) for w in words])
 
 
+def once(column: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once, however often it is named (an expression named twice is worked out
+    twice)."""
+    return F.get(F.transform(F.array(column), use), F.lit(0))
+
+
 def strip(column: Column) -> Column:
     """Trim white space of any kind at both ends."""
     return F.regexp_replace(column, r"(?U)^\s+|\s+$", "")

@@ -6,15 +6,13 @@ anchors, so it needs no shuffle. Rows are exploded only where links of different
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curiomill import constants as K
 from curiomill.functions import urls as U
 from curiomill.functions.html import anchors
-from curiomill.functions.text import contains_any
+from curiomill.functions.text import contains_any, once
 from curiomill.session import computed_once
 
 
@@ -26,24 +24,37 @@ def _has_class(classes: Column, name: Column) -> Column:
     return F.concat(F.lit(" "), classes, F.lit(" ")).contains(F.concat(F.lit(" "), name, F.lit(" ")))
 
 
-def matches_selector(a: Column, selector: Column) -> Column:
-    """Does the anchor match the selector held in a column? Covers the families that sources use; others are an error."""
-    part = F.regexp_extract(selector, r"""^a\[href\*=["']?([^"'\]]*)["']?\]$""", 1)
-    rel = F.regexp_extract(selector, r"""^a\[rel=["']?([^"'\]]*)["']?\]$""", 1)
-    tn = F.regexp_extract(selector, r"""^a\[data-tn=["']?([^"'\]]*)["']?\]$""", 1)
-    cls = F.regexp_extract(selector, r"^a\.([\w-]+)$", 1)
+def selector_rule(selector: Column) -> Column:
+    """Struct of the parts of a selector that ``matches_rule`` compares. Worked out once a page, not for each anchor."""
+    return F.struct(
+        selector.alias("selector"),
+        F.regexp_extract(selector, r"""^a\[href\*=["']?([^"'\]]*)["']?\]$""", 1).alias("part"),
+        F.regexp_extract(selector, r"""^a\[rel=["']?([^"'\]]*)["']?\]$""", 1).alias("rel"),
+        F.regexp_extract(selector, r"""^a\[data-tn=["']?([^"'\]]*)["']?\]$""", 1).alias("tn"),
+        F.regexp_extract(selector, r"^a\.([\w-]+)$", 1).alias("cls"),
+    )
+
+
+def matches_rule(a: Column, rule: Column) -> Column:
+    """Does the anchor match the rule of a selector? Covers the families that sources use; others are an error."""
+    selector = rule["selector"]
     return (
         F.when(selector == "a", F.lit(True))
-        .when(part != "", a["href"].contains(part))
-        .when(rel != "", a["rel"] == rel)
-        .when(tn != "", a["data_tn"] == tn)
-        .when(cls != "", _has_class(a["class"], cls))
+        .when(rule["part"] != "", a["href"].contains(rule["part"]))
+        .when(rule["rel"] != "", a["rel"] == rule["rel"])
+        .when(rule["tn"] != "", a["data_tn"] == rule["tn"])
+        .when(rule["cls"] != "", _has_class(a["class"], rule["cls"]))
         .when(selector == "a[data-page-number]", a["numbered"])
         .when(selector.isNotNull(), F.raise_error(F.concat(F.lit("unsupported selector: "), selector)).cast("boolean"))
         .otherwise(F.lit(False))
     )
 
 
+def matching(anchors_of: Column, selector: Column) -> Column:
+    """Anchors that match the selector held in a column."""
+    return once(selector_rule(selector), lambda rule: F.filter(anchors_of, lambda a: matches_rule(a, rule)))
+
+
 def _href_contains(needle: str):
     return lambda a: a["href"].contains(needle)
 
@@ -51,15 +62,15 @@ def _href_contains(needle: str):
 def selected_anchors(selector: Column, wide: bool = False) -> Column:
     """Anchors of the page's own selector, else of the first fallback that matches any anchor."""
     every = F.col("anchors")
-    choices = [F.filter(every, lambda a: matches_selector(a, F.coalesce(selector, F.lit("a"))))]
+    choices = [matching(every, F.coalesce(selector, F.lit("a")))]
     for needle in K.FALLBACK_HREFS_WIDE if wide else K.FALLBACK_HREFS:
         choices.append(F.filter(every, _href_contains(needle)))
-    return reduce(lambda rest, c: F.when(F.size(c) > 0, c).otherwise(rest), reversed(choices))
+    return F.coalesce(*[once(c, lambda hits: F.when(F.size(hits) > 0, hits)) for c in choices[:-1]], choices[-1])
 
 
 def select_links(pages: DataFrame, selector: str = "product_selector") -> DataFrame:
     """One row per anchor that the page's selector matches (page columns ``url``, ``html``)."""
-    own = F.filter("anchors", lambda a: matches_selector(a, F.coalesce(selector, F.lit("a"))))
+    own = matching(F.col("anchors"), F.coalesce(selector, F.lit("a")))
     return (
         with_anchors(pages)
         .select(F.col("url").alias("page_url"), F.explode(own).alias("a"))
@@ -159,10 +170,13 @@ def next_page(selector: Column, short: bool = False) -> Column:
     """Href of the next page from the ``anchors`` column: own selector, known patterns, then link text."""
     every = F.col("anchors")
 
+    def href(hits: Column) -> Column:
+        return F.nullif(F.get(hits, F.lit(0))["href"], F.lit(""))
+
     def first(rule) -> Column:
-        return F.nullif(F.get(F.filter(every, rule), F.lit(0))["href"], F.lit(""))
+        return href(F.filter(every, rule))
 
-    own = F.when(selector.isNotNull(), first(lambda a: matches_selector(a, selector)))
+    own = F.when(selector.isNotNull(), href(matching(every, selector)))
     if short:
         return own
     rules = [

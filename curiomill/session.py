@@ -51,6 +51,11 @@ def computed_once(df: DataFrame) -> DataFrame:
     return df.withColumn("_task", F.spark_partition_id()).filter("_task >= 0").drop("_task")
 
 
+def state_partitions(spark: SparkSession) -> int:
+    """Partitions of the state of a stream: as many as there are cores, if that is fewer than shuffles have."""
+    return min(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+
+
 @contextmanager
 def run_settings(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
     """Session settings for what runs inside."""

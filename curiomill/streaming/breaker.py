@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from curiomill import constants as K
 from curiomill.operators.breaker import ATTEMPT, OPEN, REQUEST, RESULT, fold, fold_events
-from curiomill.session import run_settings
+from curiomill.session import run_settings, state_partitions
 
 ROCKSDB = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
 CLOSING = 9  # kind of a row that only moves the watermark
@@ -133,8 +133,7 @@ def run_breaker(decisions: DataFrame, path: str, checkpoint: str) -> DataFrame:
     store, a Python worker and a checkpoint, however few domains it has.
     """
     spark = decisions.sparkSession
-    parts = min(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-    with run_settings(spark, ROCKSDB | {"spark.sql.shuffle.partitions": str(parts)}):
+    with run_settings(spark, ROCKSDB | {"spark.sql.shuffle.partitions": str(state_partitions(spark))}):
         query = decisions.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
         query.awaitTermination()
     return spark.read.schema(decisions.schema).parquet(path)

@@ -13,8 +13,21 @@ from curiomill.operators.extraction import Extractor
 from curiomill.operators.links import gate_products, product_links
 from curiomill.plans.batch import process_pages
 from curiomill.schemas import RECORD_FIELDS
-from curiomill.session import cut_lineage
+from curiomill.session import cut_lineage, run_settings, state_partitions
 from curiomill.sources.store import insert_products, stored_products
+from curiomill.streaming.breaker import ROCKSDB
+
+# State with mark-up lies on disk, not on the heap, within a bound of memory for each executor. A batch without rows would
+# only take out of the state what the next one with rows takes out too. Mark-up is read in small tasks: 128 MB of a file
+# are many GB of pages.
+FLOW = ROCKSDB | {
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "1000",
+    "spark.sql.streaming.noDataMicroBatches.enabled": "false",
+    "spark.sql.files.maxPartitionBytes": "16m",
+}
 
 
 def seen_once(urls: DataFrame, event_time: str | None = None, delay: str | None = None) -> DataFrame:
@@ -98,7 +111,10 @@ def run_listing_flow(
     target_rows: int | None = None, extractor: Extractor | None = None,
 ) -> int:
     """The whole flow: links of listing pages, the pages fetched for them, records, store. Returns the stored rows."""
-    return run_flow(pages_of_links(queued_links(listings, delay), pages, delay, wait), store_path, checkpoint, target_rows, extractor)
+    met = pages_of_links(queued_links(listings, delay), pages, delay, wait)
+    spark = listings.sparkSession
+    with run_settings(spark, FLOW | {"spark.sql.shuffle.partitions": str(state_partitions(spark))}):
+        return run_flow(met, store_path, checkpoint, target_rows, extractor)
 
 
 def write_stream(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:

@@ -186,3 +186,58 @@ def test_match_sources_edge_rows(spark):
     assert len(made) == len(urls)
     assert [got[k] for k in (0, 1, 2, 3, 5, 7, 8)] == [(1, 0), (2, 0), (2, 0), (3, 0), (None, None), (None, None), (None, None)]
     assert got[4] == (2, None)
+
+
+# -- product flow
+
+
+def test_listing_flow_in_one_trigger(spark, tmp_path, monkeypatch):
+    """Files by number of rows, all in one trigger; rows come twice, without a URL and without mark-up; the state lies on disk."""
+    from curiomill.catalog import stateful
+    from curiomill.sources.store import stored_products
+    from curiomill.streaming import flow
+
+    monkeypatch.setattr(stateful, "FILE_ROWS", 20)
+    site = "https://itokri.com"
+    page = '<h1 class="product-title">Ring</h1><b class="price">$1,200.00</b><div class="product-description">Handmade 14k yellow gold ring, made in France, circa 1960.</div>'
+    listings = [(i, f"{site}/shop/{i}", f'<a href="/products/ring-{i}">a</a><a href="/products/ring-{i}">b</a><a href="/about">c</a>', "a[href*='/products/']", i) for i in range(60)]
+    pages = [(i, f"{site}/products/ring-{i}", page, 403 if i % 10 == 0 else 200, i + (500 if i == 7 else 5)) for i in range(0, 60, 2)] + [(7, f"{site}/products/ring-7", page, 200, 500)]
+    listings += [listings[2], (100, None, "", None, 3), (101, f"{site}/x", None, "a", 4)]
+    pages += [pages[1], (200, None, page, 200, 5), (201, f"{site}/products/ring-3", None, 200, 5), (None, f"{site}/products/none", page, 200, 5)]
+
+    def stream(rows, schema, name):
+        made = spark.createDataFrame(rows, schema).withColumn("fetched_at", F.timestamp_seconds(F.lit(1_700_000_000) + 60 * F.col("minute"))).withColumn("rough", F.col("minute"))
+        return stateful._all_in_one(spark, made.withColumn("category", F.lit(None).cast("string")).drop("minute"), name, 2)
+
+    folders = []
+    monkeypatch.setattr(stateful, "new_folder", lambda _, name: folders.append(str(tmp_path / name)) or folders[-1])
+    lists, fetched = stream(listings, "pos long, url string, html string, product_selector string, minute long", "listings"), stream(pages, "pos long, url string, html string, status int, minute long", "pages")
+    assert len(list((tmp_path / "listings").glob("part-*"))) == 4 and len(list((tmp_path / "pages").glob("part-*"))) == 2
+    stored = flow.run_listing_flow(lists, fetched, str(tmp_path / "store"), str(tmp_path / "marks"))
+    got = sorted(r.source_url for r in stored_products(spark, str(tmp_path / "store")).collect())
+    assert got == sorted(f"{site}/products/ring-{i}" for i in range(0, 60, 2) if i % 10) and stored == len(got)
+    assert [p.name for p in (tmp_path / "store").glob("batch=*")] == ["batch=0"]
+    assert "RocksDB" in (tmp_path / "marks" / "offsets" / "0").read_text()
+
+
+def test_costly_expressions_are_worked_out_once(spark):
+    """A pattern stands once in the plan; named twice it is run twice, on every page."""
+    from curiomill.functions import lexicon as L
+    from curiomill.functions import money as M
+    from curiomill.operators import links
+
+    def plan(column):
+        rows = spark.createDataFrame([], "t string, anchors array<struct<href string, class string, rel string, data_tn string, numbered boolean>>")
+        return rows.select(column.alias("x"))._jdf.queryExecution().analyzed().toString()
+
+    quoted = plan(M.quoted_price(F.col("t")))
+    assert [quoted.count(p) for p in ("winning bid", "estimate[", "shipping", "rs|inr|usd")] == [1, 1, 1, 1]
+    assert plan(L.origin(F.col("t"))).count("italian|") + plan(L.origin(F.col("t"))).count("|italian") <= 2
+    assert plan(links.selected_anchors(F.col("t"))).count("data-tn=") == 1
+    texts = [
+        (None, 0.0, "INR"), ("", 0.0, "INR"), ("Free shipping over $150.", 0.0, "INR"), ("PRICE: €1,250.50", 1250.5, "EUR"),
+        ("Estimate: $800 - $1,200. PRICE: 5", 1200.0, "USD"), ("Estimate £900", 900.0, "GBP"), ("Winning Bid: $950. Estimate: $1 - $2", 950.0, "USD"),
+        ("Rs. 3,390 or $7", 3390.0, "INR"), ("Hammer price none", 0.0, "INR"),
+    ]
+    made = spark.createDataFrame([(i, t[0]) for i, t in enumerate(texts)], "i int, t string").select("i", M.quoted_price(F.col("t")).alias("q")).collect()
+    assert {r.i: tuple(r.q) for r in made} == {i: t[1:] for i, t in enumerate(texts)}
