@@ -34,7 +34,7 @@ def blank_to_null(column: Column) -> Column:
 
 def found(column: Column, pattern: str, group: int = 0) -> Column:
     """First match of the pattern, null when there is none."""
-    return F.nullif(F.regexp_extract(column, pattern, group), F.lit(""))
+    return once(F.regexp_extract(column, pattern, group), lambda hit: F.when(hit != "", hit))
 
 
 def alternation(terms: Iterable[str]) -> str:

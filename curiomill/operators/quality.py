@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curiomill import constants as K
-from curiomill.functions.text import contains_any, strip
+from curiomill.functions.text import contains_any, once, strip
 
 # fixed values: half scores that round up (the others round down), as binary floating point does
 ROUND_UP = [32.5, 37.5, 52.5, 67.5, 77.5, 87.5, 92.5]
@@ -71,7 +71,7 @@ def validated(records: DataFrame) -> DataFrame:
     """Add ``is_valid``, ``error`` and ``confidence`` (0 for failing rows)."""
     checked = records.withColumn("error", price_error(F.col("current_market_price")))
     return checked.withColumn("is_valid", F.col("error").isNull()).withColumn(
-        "confidence", F.when(F.col("error").isNull(), round_score(confidence_score())).otherwise(F.lit(0.0))
+        "confidence", F.when(F.col("error").isNull(), once(confidence_score(), round_score)).otherwise(F.lit(0.0))
     )
 
 

@@ -82,14 +82,14 @@ def queued_links(listings: DataFrame, delay: str) -> DataFrame:
     queued_at.
 
     ``item`` is the canonical link, ``url`` the same with its category; each url is queued once while its time is within
-    ``delay`` of the newest, links of other sites and links that are no products are dropped after that. The first
-    arrival of a url decides from which page it comes.
+    ``delay`` of the newest, links of other sites are dropped after that. The first arrival of a url decides from which
+    page it comes. Links that are no products, which only the url tells, are dropped before they get to the state.
     """
     found = product_links(listings.withWatermark("fetched_at", delay), keep=("category", "fetched_at"))
     item = U.canonical_item(F.col("url"))
     named = found.select("page_url", "fetched_at", item.alias("item"), U.tag_category(item, F.col("category")).alias("url"))
-    once = named.dropDuplicatesWithinWatermark(["url"])
-    kept = gate_products(once.filter(U.same_site(F.col("url"), F.col("page_url"))))
+    once = gate_products(named).dropDuplicatesWithinWatermark(["url"])
+    kept = once.filter(U.same_site(F.col("url"), F.col("page_url")))
     return kept.select("item", "url", F.col("fetched_at").alias("queued_at"))
 
 
